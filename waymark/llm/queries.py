@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, substring
+from . import bpe, html, quality, simhash, substring, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,23 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.kept_digest(substring.remove_repeats(_table(spark, sf_dir, "documents")))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -44,10 +61,63 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_
 FROM d LEFT JOIN r USING (doc_id) LEFT JOIN j USING (doc_id)
 """
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 7], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS s FROM d)
+), rep AS (
+  SELECT doc_id, count(DISTINCT i) AS n FROM (
+    SELECT doc_id, unnest(range(s, s + 8)) AS i FROM win SEMI JOIN (
+      SELECT doc_id, k FROM win GROUP BY ALL HAVING count(*) > 1) AS t USING (doc_id, k))
+  GROUP BY doc_id
+), c AS (
+  SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines
+  FROM d LEFT JOIN rep USING (doc_id)
+), m AS (
+  SELECT *, n_symbols::DOUBLE / nullif(n_words, 0) AS a, n_dup_lines::DOUBLE / nullif(n_lines, 0) AS b, word_chars::DOUBLE / nullif(n_words, 0) AS e FROM c
+), u AS (
+  SELECT lang, source, unnest(['a', 'b', 'e']) AS k, unnest([a, b, e]) AS v FROM m WHERE n_words >= 20
+), own AS (
+  SELECT lang, source, k, count(*) AS n, max(v) FILTER (r = greatest(ceil(0.25 * c), 1)) AS lo, max(v) FILTER (r = ceil(0.75 * c)) AS hi
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, k ORDER BY v) AS r, count(*) OVER (PARTITION BY lang, source, k) AS c FROM u)
+  GROUP BY ALL
+), wide AS (
+  SELECT lang, k, max(v) FILTER (r = greatest(ceil(0.25 * c), 1)) AS lo, max(v) FILTER (r = ceil(0.75 * c)) AS hi
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang, k ORDER BY v) AS r, count(*) OVER (PARTITION BY lang, k) AS c FROM u)
+  GROUP BY ALL
+), g AS (
+  SELECT g.lang, g.source, wide.k, CASE WHEN own.n >= 30 THEN own.lo ELSE wide.lo END AS lo, CASE WHEN own.n >= 30 THEN own.hi ELSE wide.hi END AS hi
+  FROM (SELECT DISTINCT lang, source FROM m) AS g JOIN wide ON wide.lang IS NOT DISTINCT FROM g.lang
+  LEFT JOIN own ON own.lang IS NOT DISTINCT FROM g.lang AND own.source IS NOT DISTINCT FROM g.source AND own.k = wide.k
+), f AS (
+  SELECT lang, source,
+         max(hi + 4::DOUBLE * (hi - lo) + 0.1::DOUBLE) FILTER (k = 'a') AS a_hi, max(hi + 4::DOUBLE * (hi - lo) + 0.5::DOUBLE) FILTER (k = 'b') AS b_hi,
+         max(lo - 4::DOUBLE * (hi - lo) - 1::DOUBLE) FILTER (k = 'e') AS e_lo, max(hi + 4::DOUBLE * (hi - lo) + 1::DOUBLE) FILTER (k = 'e') AS e_hi
+  FROM g GROUP BY ALL
+), j AS (
+  SELECT m.*, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
+         a <= a_hi AND b <= b_hi AND e BETWEEN e_lo AND e_hi AS inside
+  FROM m LEFT JOIN f ON f.lang IS NOT DISTINCT FROM m.lang AND f.source IS NOT DISTINCT FROM m.source
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(inside, true) AS kept FROM j
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op9_simhash": op9_simhash}
+    return {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op2_quality": op2_quality,
+        "op3_bpe": op3_bpe,
+        "op4_html": op4_html,
+        "op8_urls": op8_urls,
+        "op9_simhash": op9_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op2_quality": OP2_SQL}
