@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html, quality, simhash, substring, urls
+from .. import session
+from . import bpe, chat, decontaminate, html, pii, quality, simhash, substring, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,18 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(_table(spark, sf_dir, "pages"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.recover(_table(spark, sf_dir, "conversations"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace(_table(spark, sf_dir, "documents")).select("doc_id", "n_entities", "kinds", "text")
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -38,6 +52,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
@@ -108,15 +126,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+def _shipping(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        session.ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_quality": op2_quality,
         "op3_bpe": op3_bpe,
         "op4_html": op4_html,
+        "op5_chat": op5_chat,
+        "op6_decontaminate": op6_decontaminate,
+        "op7_pii": op7_pii,
         "op8_urls": op8_urls,
         "op9_simhash": op9_simhash,
+        "op10_toxicity": op10_toxicity,
     }
+    found["pipeline"] = corpus_pipeline.run
+    return {name: _shipping(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
