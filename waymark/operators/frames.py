@@ -53,9 +53,9 @@ def between_points(points: DataFrame, plan: DataFrame, path: Sequence[str], orde
     filters that array, so no frames-by-points join is made.
     """
     c = cumulative(points, path, order)
-    arrays = c.groupBy(*path).agg(F.array_sort(F.collect_list(F.struct(F.col("c").alias("c"), F.col(order).alias("i")))).alias("p"))
+    arrays = c.groupBy(*path).agg(F.array_sort(F.collect_list(F.struct(F.col("c").alias("c"), F.col(order).alias("i")))).alias("__points"))
     joined = plan.join(arrays, list(path))
-    some = F.filter("p", lambda q: (q["c"] > F.col("camera")) & (q["c"] < F.col("person") - TOLERANCE))
+    some = F.filter("__points", lambda q: (q["c"] > F.col("camera")) & (q["c"] < F.col("person") - TOLERANCE))
     return joined.select(*path, "frame", F.explode(F.transform(some, lambda q: q["i"])).alias("i"))
 
 
@@ -100,7 +100,7 @@ def blend(points: DataFrame, path: Sequence[str], x: str, y: str, keep: float =
     The recursion is one fold over a path's ordered directions; a blend of
     length zero keeps the direction before.
     """
-    arrays = points.groupBy(*path).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("i"), F.col(x).alias("x"), F.col(y).alias("y")))).alias("p"))
+    arrays = points.groupBy(*path).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("i"), F.col(x).alias("x"), F.col(y).alias("y")))).alias("__points"))
 
     def step(acc: Column, p: Column) -> Column:
         last = F.element_at(acc, -1)
@@ -110,16 +110,16 @@ def blend(points: DataFrame, path: Sequence[str], x: str, y: str, keep: float =
         new = F.struct(p["i"].alias("i"), F.when(ok, F.try_divide(mx, n)).otherwise(last["x"]).alias("x"), F.when(ok, F.try_divide(my, n)).otherwise(last["y"]).alias("y"))
         return F.concat(acc, F.array(new))
 
-    rest = F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0)))
-    return arrays.select(*path, F.inline(F.aggregate(rest, F.slice("p", 1, 1), step)).alias(order, "bx", "by"))
+    rest = F.slice("__points", 2, F.greatest(F.size("__points") - 1, F.lit(0)))
+    return arrays.select(*path, F.inline(F.aggregate(rest, F.slice("__points", 1, 1), step)).alias(order, "bx", "by"))
 
 
 def smoothed(df: DataFrame, group: Sequence[str], value: str, share: float, order: str) -> DataFrame:
     """(group, order, ema): share * value + (1 - share) * the result before, from 0."""
-    arrays = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("i"), F.col(value).cast("double").alias("v")))).alias("p"))
+    arrays = df.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("i"), F.col(value).cast("double").alias("v")))).alias("__points"))
     zero = F.array().cast("array<struct<i:bigint,v:double>>")
     before = lambda acc: F.coalesce(F.get(acc, F.size(acc) - 1)["v"], F.lit(0.0))
-    fold = F.aggregate("p", zero, lambda acc, p: F.concat(acc, F.array(F.struct(p["i"].cast("bigint").alias("i"), (share * p["v"] + (1 - share) * before(acc)).alias("v")))))
+    fold = F.aggregate("__points", zero, lambda acc, p: F.concat(acc, F.array(F.struct(p["i"].cast("bigint").alias("i"), (share * p["v"] + (1 - share) * before(acc)).alias("v")))))
     return arrays.select(*group, F.inline(fold).alias(order, "ema"))
 
 

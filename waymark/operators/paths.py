@@ -47,11 +47,11 @@ def dedupe(points: DataFrame, path: Sequence[str], eps: float, order: str = "i")
     ordered points; paths are independent and bounded by their own length.
     """
     row = F.struct(order, "x", "y")
-    arrays = points.groupBy(*path).agg(F.array_sort(F.collect_list(row)).alias("p"))
+    arrays = points.groupBy(*path).agg(F.array_sort(F.collect_list(row)).alias("__points"))
     far = lambda kept, p: F.hypot(p["x"] - F.element_at(kept, -1)["x"], p["y"] - F.element_at(kept, -1)["y"]) > eps
     kept = F.aggregate(
-        F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(0))),
-        F.slice("p", 1, 1),
+        F.slice("__points", 2, F.greatest(F.size("__points") - 1, F.lit(0))),
+        F.slice("__points", 1, 1),
         lambda acc, p: F.when(far(acc, p), F.concat(acc, F.array(p))).otherwise(acc),
     )
     return arrays.select(*path, F.inline(kept).alias(order, "x", "y"))
