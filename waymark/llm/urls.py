@@ -14,7 +14,7 @@ from itertools import product
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-BUCKETS, SIZES, MOST_LABELLED, STEPS, RATE, DECAY = 4096, (3, 4, 5), 10_000, 300, 2.0, 1e-4
+BUCKETS, SIZES, MOST_LABELLED, STEPS, RATE, DECAY = 4096, (3, 4, 5), 10_000, 1000, 2.0, 1e-4
 
 #: The rules of the query as (host, path, verdict).
 RULES = (
@@ -40,7 +40,7 @@ def labelled_urls() -> list[tuple[str, int]]:
         for label, stems, dash in ((1, BAD, "-"), (0, GOOD, "-" * (k % 2)), (0, PLAIN, "")):
             host = f"{stems[a]}{dash}{stems[(a + b) % 20]}"
             out.append((f"http{'s' * (k % 2)}://{prefix}{host}.example.{ending}/{path}", label))
-    return out
+    return out + [(f"{word}{k}", 0) for word in ("", "/", "page", "about:") for k in range(10)]  # without a host
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
