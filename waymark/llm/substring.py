@@ -205,7 +205,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int =
     mixed = spark.sparkContext.broadcast(_anchor_cells(anchors.where("not one").select("anchor"), bits))
     each = found.select("anchor", "doc_id", "tkey", "first", "hashes").mapInArrow(_mixed(mixed, bits), "w long, side int, doc_id long, tkey int, a int")
     least = each.groupBy("w", "side").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    single = each.join(least.where("least < most").drop("most"), ["w", "side"]).where("doc_id > least")
+    # Written, so that the join below has plain exchanges on both sides, which can be split.
+    least = shared.table(least.where("least < most").drop("most"), "windows")
+    single = each.join(least, ["w", "side"]).where("doc_id > least")
     return whole.union(single.select("doc_id", "tkey", "a", (F.col("a") + window).alias("b")))
 
 
