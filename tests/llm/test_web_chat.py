@@ -26,6 +26,9 @@ def test_lines():
     assert html.lines(page) == (["T", "abc & d e é", "one", "two"], True)
     assert html.lines('<p>a<p>b <script>if (a<b) x="</p>"</script> c<!-- d --> e < f <i') == (["a", "b c e < f"], False)
     assert html.lines("") == ([], False)
+    page = '<body class="post"><div>top</div><div id="content"><div class="post-header"><h1>T</h1></div><div class="sidebar">s</div><p>x</p><div class="comment-content">c</div></div><div>end</div>'
+    assert html.lines(page) == (["T", "x"], True)
+    assert html.lines("<div class=content><p>menu here</p><article><p>a</p></article></div>") == (["a"], True)
 
 
 def test_common_is_a_longest_subsequence():

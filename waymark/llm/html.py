@@ -3,7 +3,8 @@
 A page is cut into lines, one for each block. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and reader comments are known by
 element, role, class or id and never give lines. In a page with an ``article``
-or ``main`` element, its lines are the text.
+or ``main`` element, or one whose class or id names the content, its lines are
+the text.
 
 In a page without one, template lines cannot be told by markup. There the
 nearest page by URL path on the same host decides: both pages' lines are
@@ -43,12 +44,17 @@ _BLOCK = frozenset(
 _SKIP = frozenset("aside dialog footer form head menu nav".split())
 _SKIP_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 _SKIP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
+    "ad ads adsbygoogle adv advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs comment comments consent cookie cookies "
     "copyright discussion disqus disclaimer footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice notices "
     "pager pagination popup promo promoted promotion related reply replies respond search share sharing sidebar signup skip social sponsor "
     "sponsored subscribe subscription toolbar widget widgets".split()
 )
 _LANDMARKS = frozenset(("article", "main"))
+#: Whole class names or ids of elements that hold an article where there is no landmark element.
+_CONTENT = frozenset(
+    "article articlebody article-body article-content article-text content content-body entry entry-content main main-content maincontent post post-body "
+    "post-content post-text story story-body story-content".split()
+)
 _CLOSES = {"li": "ul ol menu dir", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table", "th": "tr table", "option": "select"}
 _CLOSES = {k: frozenset(v.split()) for k, v in _CLOSES.items()}
 _PAIRED = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
@@ -58,7 +64,7 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _hidden(name: str, attributes: dict[str, str]) -> bool:
+def _hidden(name: str, attributes: dict[str, str], inside: bool) -> bool:
     if name in ("html", "body"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
@@ -68,14 +74,21 @@ def _hidden(name: str, attributes: dict[str, str]) -> bool:
     named = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
     if name in _LANDMARKS:
         return bool({"comment", "comments", "reply", "replies"} & set(re.split(r"[^a-z0-9]+", named)))
-    return not _SKIP_WORDS.isdisjoint(re.split(r"[^a-z0-9]+", named))
+    found = _SKIP_WORDS.intersection(re.split(r"[^a-z0-9]+", named))
+    return bool(found - {"header"} if inside else found)  # an article's own header holds its title
+
+
+def _content(attributes: dict[str, str]) -> bool:
+    if attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody":
+        return True
+    return not _CONTENT.isdisjoint(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split())
 
 
 def lines(page: str) -> tuple[list[str], bool]:
     """The lines that may be main text, and whether a landmark element holds them."""
-    out: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, skipped, inside a landmark
-    skip, inside, landmark, at = False, False, False, 0
+    out: list[tuple[str, int]] = []
+    stack: list[tuple[str, bool, int]] = []  # name, skipped, inside: 2 a landmark element, 1 one named for content
+    skip, inside, landmark, at = False, 0, 0, 0
     text: list[str] = []
 
     def flush() -> None:
@@ -88,7 +101,7 @@ def lines(page: str) -> tuple[list[str], bool]:
     def pop(k: int) -> None:
         nonlocal skip, inside
         del stack[k:]
-        _, skip, inside = stack[-1] if stack else ("", False, False)
+        _, skip, inside = stack[-1] if stack else ("", False, 0)
 
     while m := _TOKEN.search(page, at):
         if not skip and m.start() > at:
@@ -123,19 +136,21 @@ def lines(page: str) -> tuple[list[str], bool]:
                     pop(k)
                     break
         attributes = _attributes(raw) if raw.strip(" /") else {}
-        drop = skip or name in _SKIP or bool(attributes) and _hidden(name, attributes)
+        drop = skip or name in _SKIP or bool(attributes) and _hidden(name, attributes, inside > 0)
         if name == "header" and not skip:
-            drop = not inside  # an article's own header holds its title
-        mark = not drop and (name in _LANDMARKS or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody")
+            drop = not inside
+        level = 0
+        if not drop and name not in ("html", "body"):
+            level = 2 if name in _LANDMARKS else int(bool(attributes) and _content(attributes))
         if raw.endswith("/") and not block:
             continue
-        if block or drop != skip or mark:
-            stack.append((name, drop, inside or mark))
-            skip, inside, landmark = drop, inside or mark, landmark or mark
+        if block or drop != skip or level > inside:
+            stack.append((name, drop, max(inside, level)))
+            skip, inside, landmark = drop, max(inside, level), max(landmark, level)
     if not skip:
         text.append(re.sub(r"<[a-zA-Z/!?].*\Z", "", page[at:], flags=re.S))
     flush()
-    return [x for x, own in out if own or not landmark], landmark
+    return [x for x, own in out if own >= landmark], landmark > 0
 
 
 def common(a: list[str], b: list[str]) -> list[int]:
