@@ -153,14 +153,38 @@ def _chained(model):
 
 
 def _decoded(model):
-    def of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Roles of sorted turns; a run of equal (conv_id, block) is one block."""
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
         start, steps, emit = model.value
-        pdf = pdf.sort_values(["place"])
-        scores = emit[:, pdf["code"].to_numpy()].T.copy()
-        entry, last = int(pdf["entry"].iloc[0]), int(pdf["exit"].iloc[0])
-        scores[0] += start if entry < 0 else steps[entry]
-        pdf["found"] = viterbi(scores, steps, last)
-        return pdf[["conv_id", "turn", "place", "given", "found", "body"]]
+        key = np.stack([table.column(c).fill_null(-1).to_numpy() for c in ("conv_id", "block")] + [table.column("conv_id").is_null().to_numpy()])
+        code, entry, last = (table.column(c).fill_null(-2).to_numpy() for c in ("code", "entry", "exit"))
+        edge = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0), True])
+        scores = emit.T[code]
+        found = np.zeros(len(code), np.int32)
+        for x, y in zip(edge[:-1], edge[1:]):
+            part = scores[x:y]
+            part[0] += start if entry[x] < 0 else steps[entry[x]]
+            found[x:y] = viterbi(part, steps, None if last[x] < 0 else int(last[x]))
+        out = table.select(["conv_id", "turn", "place", "given", "body"]).append_column("found", pa.array(found))
+        return out.combine_chunks().to_batches()[0]
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            table = pa.Table.from_batches([b])
+            table = table if held is None else pa.concat_tables([held, table])
+            if not table.num_rows:
+                continue
+            ids, blocks = table.column("conv_id").to_pylist(), table.column("block").to_pylist()
+            cut = table.num_rows - 1
+            while cut and ids[cut - 1] == ids[-1] and blocks[cut - 1] == blocks[-1]:
+                cut -= 1  # the last run may go on; it has at most BLOCK turns
+            if cut:
+                yield solve(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None and held.num_rows:
+            yield solve(held)
 
     return of
 
@@ -182,11 +206,16 @@ def recover(conversations: DataFrame) -> DataFrame:
     turns = shared.table(turns.withColumn("opening", F.col("place") == 0).mapInArrow(_observed, schema), "turns")
     model = spark.sparkContext.broadcast(train(turns))
     blocks = turns.withColumn("block", F.floor(F.col("place") / BLOCK).cast("long"))
-    matrices = blocks.select("conv_id", "block", "place", "code").groupBy("conv_id", "block").applyInPandas(_matrices(model), "conv_id long, block long, matrix array<double>")
+    # Only conversations of several blocks need the blocks' matrices.
+    long = blocks.where("block > 0").select(F.col("conv_id").alias("__c")).distinct()
+    several = blocks.select("conv_id", "block", "place", "code").join(long, F.col("conv_id").eqNullSafe(F.col("__c")), "left_semi")
+    matrices = several.groupBy("conv_id", "block").applyInPandas(_matrices(model), "conv_id long, block long, matrix array<double>")
     ends = matrices.groupBy("conv_id").applyInPandas(_chained(model), "conv_id long, block long, entry int, exit int")
     ends = ends.select(F.col("conv_id").alias("__c"), F.col("block").alias("__b"), "entry", "exit")
-    joined = blocks.join(ends, F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b"))).drop("__c", "__b")
-    found = joined.groupBy("conv_id", "block").applyInPandas(_decoded(model), "conv_id long, turn long, place long, given int, found int, body string")
+    joined = blocks.join(ends, F.col("conv_id").eqNullSafe(F.col("__c")) & (F.col("block") == F.col("__b")), "left").drop("__c", "__b")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    joined = joined.repartition(parts, "conv_id", "block").sortWithinPartitions("conv_id", "block", "place")
+    found = joined.mapInArrow(_decoded(model), "conv_id long, turn long, place long, given int, body string, found int")
     names = F.array(*map(F.lit, ROLES))
     role = F.get(names, F.col("found"))
     rendered = F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), F.col("body"), F.lit("<|im_end|>"))
