@@ -116,3 +116,21 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {(r.actor, r.state) for r in got.collect()} == {("a", "completed"), ("b", "failed")}
     progress.snapshots(progress.resume_stream(stream, ["scene"]), str(tmp_path / "snap"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.json(str(tmp_path / "snap")).first().state == "completed"
+
+
+def test_colmap_text_written_and_read(spark, tmp_path):
+    t = tmp_path / "t"
+    t.mkdir()
+    (t / "cameras.txt").write_text("1 PINHOLE 640 480 500 500 320 240\n")
+    (t / "images.txt").write_text("1 1 0 0 0 1 2 3 1 a.png\n10 20 7 30 40 -1\n2 1 0 0 0 1 2 3 1 b.png\n\n")
+    for table, write in (("cameras", sinks.colmap_text_cameras), ("images", sinks.colmap_text_images)):
+        first = clouds.colmap(spark, str(t), table)
+        out = tmp_path / f"again_{table}"
+        out.mkdir()
+        (out / f"{table}.txt").write_text("\n".join(r.value for r in write(first).collect()) + "\n")
+        assert clouds.colmap(spark, str(out), table).collect() == first.collect()
+
+
+def test_quality_results(spark):
+    rows = spark.createDataFrame([("s", "m", "a", 1.0), ("s", "m", "b", 3.0)], "scene string, method string, image string, PSNR double")
+    assert json.loads(sinks.quality_results(rows).first().value) == {"s": {"m": {"PSNR": 2.0}}}

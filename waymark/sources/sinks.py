@@ -66,3 +66,30 @@ def command_lines(plans: DataFrame, script: str, follow: float) -> DataFrame:
         F.concat_ws(" ", F.lit(f"python {script}"), F.format_string("--scene %s", F.col("scene").cast("string")), F.format_string("--actor %s", F.col("actor_id").cast("string")),
                     F.concat(F.lit("--labels "), F.array_join(F.col("labels").cast("array<string>"), ",")), F.lit(f"--follow-distance {follow:.6f}")),
     )
+
+
+def quality_results(rows: DataFrame) -> DataFrame:
+    """One JSON document of mean measures by scene and method; ``rows`` has scene, method and the measures."""
+    measures = [c for c in rows.columns if c not in ("scene", "method", "image")]
+    means = rows.groupBy("scene", "method").agg(*(F.avg(c).alias(c) for c in measures))
+    methods = means.groupBy("scene").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("method", F.struct(*measures))))).alias("m"))
+    by_scene = lambda a, b: F.when(a["scene"] < b["scene"], -1).when(a["scene"] > b["scene"], 1).otherwise(0)
+    return methods.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("scene", "m")), by_scene))).alias("value"))
+
+
+def colmap_text_cameras(cameras: DataFrame) -> DataFrame:
+    """Lines of ``cameras.txt``."""
+    return cameras.select(F.concat_ws(" ", F.col("camera_id").cast("string"), "model", F.col("width").cast("string"), F.col("height").cast("string"), F.array_join(F.col("params").cast("array<string>"), " ")).alias("value"))
+
+
+def colmap_text_images(images: DataFrame) -> DataFrame:
+    """Lines of ``images.txt``, two for each image, in order of image and line."""
+    numbers = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+    head = F.concat_ws(" ", F.col("image_id").cast("string"), numbers("qvec"), numbers("tvec"), F.col("camera_id").cast("string"), "name")
+    seen = F.array_join(F.zip_with("xys", "point3d_ids", lambda q, p: F.concat_ws(" ", q["x"].cast("string"), q["y"].cast("string"), p.cast("string"))), " ")
+    return images.select("image_id", F.posexplode(F.array(head, seen)).alias("line", "value")).orderBy("image_id", "line").select("value")
+
+
+def camera_documents(cameras: DataFrame) -> DataFrame:
+    """One JSON document for each camera row."""
+    return cameras.select(F.to_json(F.struct("*")).alias("value"))
