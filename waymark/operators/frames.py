@@ -47,7 +47,7 @@ def lead_plan(points: DataFrame, path: Sequence[str], lead: int, order: str = "i
 
 
 def between_points(points: DataFrame, plan: DataFrame, path: Sequence[str], order: str = "i") -> DataFrame:
-    """(path, frame, i): points strictly between camera and walker of each frame.
+    """(path, frame, i): points strictly between camera and walker of each frame (by 1e-9 and 1e-6, for sums that differ in rounding).
 
     A path's distances are gathered once (bounded by the path) and each frame
     filters that array, so no frames-by-points join is made.
@@ -55,7 +55,7 @@ def between_points(points: DataFrame, plan: DataFrame, path: Sequence[str], orde
     c = cumulative(points, path, order)
     arrays = c.groupBy(*path).agg(F.array_sort(F.collect_list(F.struct(F.col("c").alias("c"), F.col(order).alias("i")))).alias("__points"))
     joined = plan.join(arrays, list(path))
-    some = F.filter("__points", lambda q: (q["c"] > F.col("camera")) & (q["c"] < F.col("person") - TOLERANCE))
+    some = F.filter("__points", lambda q: (q["c"] > F.col("camera") + 1e-9) & (q["c"] < F.col("person") - TOLERANCE))
     return joined.select(*path, "frame", F.explode(F.transform(some, lambda q: q["i"])).alias("i"))
 
 

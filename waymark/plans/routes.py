@@ -16,11 +16,11 @@ FOLLOW = 15.0
 @query(sql("""WITH f AS (SELECT scene, label, count(*) AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(x * m) AS sxm, sum(m) AS sm, sum(y) AS sy, sum(y * y) AS syy, sum(y * k) AS syk, sum(k) AS sk
 FROM (SELECT *, y + 0.5 * x AS m, 3 - x AS k FROM path_point) GROUP BY ALL), g AS (SELECT *, CASE WHEN n < 2 OR abs(n * sxx - sx * sx) < 1e-8 THEN NULL ELSE (n * sxm - sx * sm) / (n * sxx - sx * sx) END AS a,
 CASE WHEN n < 2 OR abs(n * syy - sy * sy) < 1e-8 THEN NULL ELSE (n * syk - sy * sk) / (n * syy - sy * sy) END AS b FROM f)
-SELECT scene, label, n, round(coalesce(a, 1), 6) AS ax, round(coalesce((sm - a * sx) / n, 0), 6) AS bx, round(coalesce(b, 1), 6) AS ay, round(coalesce((sk - b * sy) / n, 0), 6) AS "by" FROM g""", "path_point"))
+SELECT scene, label, n, round(coalesce(a, 1), 9) AS ax, round(coalesce((sm - a * sx) / n, 0), 9) AS bx, round(coalesce(b, 1), 9) AS ay, round(coalesce((sk - b * sy) / n, 0), 9) AS "by" FROM g""", "path_point"))
 def affine_fit(p: Proxies) -> DataFrame:
     points = p.path_point().withColumns({"y": F.round("y"), "x": F.round("x")}).withColumns({"m": F.col("y") + 0.5 * F.col("x"), "k": 3 - F.col("x")})
     df = paths.affine_fit(points, PATH, "m", "k")
-    return df.select(*PATH, "n", *(F.round(c, 6).alias(c) for c in ("ax", "bx", "ay", "by")))
+    return df.select(*PATH, "n", *(F.round(c, 9).alias(c) for c in ("ax", "bx", "ay", "by")))
 
 
 @query(sql("""SELECT scene, label, i, round(50 - (1.5 * x + 2), 6) AS x, round(10 - (0.5 * y - 1), 6) AS y, round(99 - x) AS u FROM path_point""", "path_point"))
@@ -90,7 +90,7 @@ def lead_follow_plan(p: Proxies) -> DataFrame:
     return frames.lead_plan(p.path_point(), PATH, 2)
 
 
-@query(sql("SELECT plan.scene, plan.label, plan.frame, cum.i FROM plan JOIN cum ON cum.label = plan.label AND cum.c > plan.camera AND cum.c < plan.person - 1e-6", "plan"))
+@query(sql("SELECT plan.scene, plan.label, plan.frame, cum.i FROM plan JOIN cum ON cum.label = plan.label AND cum.c > plan.camera + 1e-9 AND cum.c < plan.person - 1e-6", "plan"))
 def between_points(p: Proxies) -> DataFrame:
     points = p.path_point()
     return frames.between_points(points, frames.follow_plan(points, PATH, FOLLOW), PATH)

@@ -120,10 +120,10 @@ def folder_numbers(p: Proxies) -> DataFrame:
 
 
 @query("""SELECT c_custkey, greatest(load, used) AS usage, printf('#%02x%02x00', CAST(floor(255 * least(greatest(load, used), 100) / 100) AS BIGINT), CAST(floor(255 * (1 - least(greatest(load, used), 100) / 100)) AS BIGINT)) AS colour,
-CASE WHEN c_acctbal * 1000 >= 1048576 THEN printf('%.2f MB', c_acctbal * 1000 / 1048576) WHEN c_acctbal * 1000 >= 1024 THEN printf('%.2f KB', c_acctbal * 1000 / 1024) ELSE printf('%.2f B', c_acctbal * 1000) END AS text
-FROM (SELECT *, round(abs(c_acctbal) / 100 / 8 * 8, 2) AS load, round(CAST(c_nationkey AS DOUBLE) / 25 * 100, 2) AS used FROM customer)""")
+CASE WHEN c_acctbal * 1000 >= 1048576 THEN printf('%.2f MB', round(c_acctbal * 1000 / 1048576, 2)) WHEN c_acctbal * 1000 >= 1024 THEN printf('%.2f KB', round(c_acctbal * 1000 / 1024, 2)) ELSE printf('%.2f B', round(c_acctbal * 1000, 2)) END AS text
+FROM (SELECT *, round(abs(c_acctbal) / 100 / 8 * 8, 6) AS load, round(CAST(c_nationkey AS DOUBLE) / 25 * 100, 2) AS used FROM customer)""")
 def host_usage(p: Proxies) -> DataFrame:
-    df = p.table("customer").withColumns({"load": F.round(F.abs("c_acctbal") / 100 / 8 * 8, 2), "used": F.round(F.col("c_nationkey").cast("double") / 25 * 100, 2)})
+    df = p.table("customer").withColumns({"load": F.round(F.abs("c_acctbal") / 100 / 8 * 8, 6), "used": F.round(F.col("c_nationkey").cast("double") / 25 * 100, 2)})
     usage = F.greatest("load", "used")
     return df.select("c_custkey", usage.alias("usage"), S.percent_colour(usage).alias("colour"), S.byte_text(F.col("c_acctbal") * 1000).alias("text"))
 
