@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .. import tables
+
 
 def first_reason(*tests: tuple[Column, str]) -> Column:
     """The name of the first test that holds, null if none does."""
@@ -24,9 +26,9 @@ def numbered(df: DataFrame, key: str, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # A written order would be cheaper to keep; ranges are recomputed alike because keys are distinct.
+    # Written, because the bounds of ranges are sampled anew whenever the plan runs.
     keys = df.select(key).distinct()
-    dealt = keys.repartitionByRange(parts, key).withColumn("__part", F.spark_partition_id())
+    dealt = tables.table(keys.repartitionByRange(parts, key).withColumn("__part", F.spark_partition_id()), "keys")
     local = dealt.withColumn("__k", F.row_number().over(W.partitionBy("__part").orderBy(key)) - 1)
     sizes = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))

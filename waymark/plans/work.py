@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import tables
 from ..functions import scalar as S
 from ..operators import planning
 from ..streaming import progress
@@ -150,8 +151,5 @@ def stream_resume(p: Proxies) -> DataFrame:
 
 
 def _checkpoint(p: Proxies) -> str:
-    """A folder for a stream's state, in the cluster's shared folder where there is one."""
-    import uuid
-
-    shared = p.spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/streams/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="waymark-stream-")
+    """A folder for a stream's state, in the cluster's shared folder."""
+    return f"{tables.shared_dir(p.spark)}/streams/{uuid.uuid4().hex}"
