@@ -1,58 +1,7 @@
-"""Intermediate tables in the cluster's shared folder.
-
-A table that several jobs read is written once as Parquet below
-``spark.checkpoint.dir``; a lost executor then costs only the tasks it ran,
-because nothing depends on blocks that lived on it.
-"""
+"""The library's tables in the shared folder, under the name the operators use."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    where = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="waymark-")
-        spark.sparkContext.getConf().set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
-
-
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and return a reader of what was written."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def clear() -> None:
-    """Delete every table written so far; results that still read them become invalid."""
-    while _written:
-        spark, path = _written.pop()
-        if spark.sparkContext._jsc is not None:
-            _delete(spark, path)
-
+from ..tables import clear, shared_dir, table
 
-@atexit.register
-def _clear_at_exit() -> None:
-    try:
-        clear()
-    except Exception:  # the JVM may be gone by now
-        _written.clear()
+__all__ = ["clear", "shared_dir", "table"]
