@@ -9,25 +9,25 @@ from pyspark.sql import Column, DataFrame, functions as F
 By = Sequence[str | Column]
 
 
-def describe_columns(value: str | Column, prefix: str = "") -> list[Column]:
-    """count, min, max, mean, median, p10, p90 and population stddev (null for fewer than two)."""
+def describe_columns(value: str | Column, prefix: str = "", digits: tuple[int, int] | None = None) -> list[Column]:
+    """count, min, max, mean, median, p10, p90 and population stddev (null for fewer than two).
+
+    ``digits`` rounds mean and stddev to its first and the percentiles to its second number of places.
+    """
     v = F.col(value) if isinstance(value, str) else value
     n = F.count(v)
-    return [
-        n.alias(f"{prefix}count"),
-        F.min(v).alias(f"{prefix}min"),
-        F.max(v).alias(f"{prefix}max"),
-        F.round(F.avg(v), 6).alias(f"{prefix}mean"),
-        F.round(F.percentile(v, 0.5), 6).alias(f"{prefix}median"),
-        F.round(F.percentile(v, 0.1), 6).alias(f"{prefix}p10"),
-        F.round(F.percentile(v, 0.9), 6).alias(f"{prefix}p90"),
-        F.round(F.when(n > 1, F.stddev_pop(v)), 6).alias(f"{prefix}stddev"),
-    ]
-
-
-def describe(df: DataFrame, value: str | Column, by: By = (), prefix: str = "") -> DataFrame:
+    means = {"mean": F.avg(v), "stddev": F.when(n > 1, F.stddev_pop(v))}
+    shares = {"median": F.percentile(v, 0.5), "p10": F.percentile(v, 0.1), "p90": F.percentile(v, 0.9)}
+    if digits:
+        means = {k: F.round(c, digits[0]) for k, c in means.items()}
+        shares = {k: F.round(c, digits[1]) for k, c in shares.items()}
+    columns = {"count": n, "min": F.min(v), "max": F.max(v), "mean": means["mean"], **shares, "stddev": means["stddev"]}
+    return [c.alias(f"{prefix}{k}") for k, c in columns.items()]
+
+
+def describe(df: DataFrame, value: str | Column, by: By = (), prefix: str = "", digits: tuple[int, int] | None = None) -> DataFrame:
     """One row for each group; nulls are left out, a group of nulls has count 0."""
-    return df.groupBy(*by).agg(*describe_columns(value, prefix))
+    return df.groupBy(*by).agg(*describe_columns(value, prefix, digits))
 
 
 def threshold_counts(df: DataFrame, value: Column, limits: dict[str, float], by: By = ()) -> DataFrame:

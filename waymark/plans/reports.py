@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import scalar as S
 from ..operators import paths, stats
 from ..operators.planning import last_row
-from .proxies import Proxies, describe_sql, sql
+from .proxies import DIGITS, Proxies, describe_sql, sql
 from .registry import query
 
 PATH = ["scene", "label"]
@@ -29,7 +29,7 @@ def path_failures(p: Proxies) -> DataFrame:
 
 @query(sql(f"SELECT scene, {describe_sql('length')} FROM metric GROUP BY scene", "metric"))
 def scene_describe_length(p: Proxies) -> DataFrame:
-    return stats.describe(paths.metrics(p.path_point(), PATH), "length", ["scene"])
+    return stats.describe(paths.metrics(p.path_point(), PATH), "length", ["scene"], digits=DIGITS)
 
 
 _COUNTS = ", ".join(f"count(*) FILTER (length >= {v!r}) AS {k}" for k, v in LENGTHS.items())
@@ -43,7 +43,7 @@ def scene_threshold_counts(p: Proxies) -> DataFrame:
 @query(sql(f"WITH c AS (SELECT scene, {_COUNTS} FROM metric GROUP BY scene), l AS (UNPIVOT c ON frames_30, frames_60, frames_90 INTO NAME threshold VALUE n) SELECT threshold, {describe_sql('n')} FROM l GROUP BY threshold", "metric"))
 def threshold_detail(p: Proxies) -> DataFrame:
     counts = stats.threshold_counts(paths.metrics(p.path_point(), PATH), F.col("length"), LENGTHS, ["scene"])
-    return stats.describe(counts.unpivot("scene", list(LENGTHS), "threshold", "n"), "n", ["threshold"])
+    return stats.describe(counts.unpivot("scene", list(LENGTHS), "threshold", "n"), "n", ["threshold"], digits=DIGITS)
 
 
 @query(sql("WITH c AS (SELECT path, count(*) AS n FROM frame GROUP BY path) SELECT count(*) FILTER (n >= 30) AS frames_30, count(*) FILTER (n >= 60) AS frames_60, count(*) FILTER (n >= 90) AS frames_90 FROM c", "frame"))
@@ -77,14 +77,14 @@ def top_actors_20(p: Proxies) -> DataFrame:
     return stats.top_counts(p.assignment(), "actor_id", "ordinal")
 
 
-@query(sql("SELECT scene, count(*) AS n, round(avg(length), 6) AS mean_length FROM metric GROUP BY scene", "metric"))
+@query(sql("SELECT scene, count(*) AS n, round(avg(length), 4) AS mean_length FROM metric GROUP BY scene", "metric"))
 def scene_count_vs_mean(p: Proxies) -> DataFrame:
-    return paths.metrics(p.path_point(), PATH).groupBy("scene").agg(F.count("*").alias("n"), F.round(F.avg("length"), 6).alias("mean_length"))
+    return paths.metrics(p.path_point(), PATH).groupBy("scene").agg(F.count("*").alias("n"), F.round(F.avg("length"), 4).alias("mean_length"))
 
 
 @query(sql(f"SELECT {describe_sql('n')} FROM (SELECT actor_id, count(*) AS n FROM assignment GROUP BY 1)", "assignment"))
 def describe_of_counts(p: Proxies) -> DataFrame:
-    return stats.describe(p.assignment().groupBy("actor_id").agg(F.count("*").alias("n")), "n")
+    return stats.describe(p.assignment().groupBy("actor_id").agg(F.count("*").alias("n")), "n", digits=DIGITS)
 
 
 @query(sql("SELECT kind, count(*) AS n FROM assignment LEFT JOIN actor ON actor_id = id GROUP BY kind", "assignment", "actor"))
@@ -95,7 +95,7 @@ def count_with_null_key(p: Proxies) -> DataFrame:
 @query(sql(f"SELECT scene, count(*) AS n, {describe_sql('speed', 'speed_')} FROM assignment LEFT JOIN actor ON actor_id = id GROUP BY scene", "assignment", "actor"))
 def actor_speed_samples_left_join(p: Proxies) -> DataFrame:
     joined = p.assignment().join(p.actor(), F.col("actor_id") == F.col("id"), "left")
-    return joined.groupBy("scene").agg(F.count("*").alias("n"), *stats.describe_columns("speed", "speed_"))
+    return joined.groupBy("scene").agg(F.count("*").alias("n"), *stats.describe_columns("speed", "speed_", DIGITS))
 
 
 @query(sql("SELECT ordinal, actor_id FROM assignment WHERE actor_id NOT IN (SELECT id FROM actor)", "assignment", "actor"))
@@ -146,10 +146,10 @@ def coverage_missing_samples(p: Proxies) -> DataFrame:
     return stats.difference_samples(*_coverage_sides(p), "scene", "label", 25)
 
 
-@query(sql(_SIDES + f""" SELECT {describe_sql('ratio')} FROM (SELECT scene, count(*) FILTER (el IS NOT NULL AND al IS NOT NULL)::DOUBLE / count(el) AS ratio FROM f GROUP BY scene)""", "assignment"))
+@query(sql(_SIDES + f""" SELECT {describe_sql('ratio')} FROM (SELECT scene, count(*) FILTER (el IS NOT NULL AND al IS NOT NULL)::DOUBLE / count(el) AS raw, round(raw, 6) AS ratio FROM f GROUP BY scene)""", "assignment"))
 def coverage_ratio_describe(p: Proxies) -> DataFrame:
-    df = stats.coverage(*_coverage_sides(p), "scene", "label").withColumn("ratio", F.col("shared").cast("double") / F.col("expected"))
-    return stats.describe(df, "ratio")
+    df = stats.coverage(*_coverage_sides(p), "scene", "label").withColumn("ratio", F.round(F.col("shared").cast("double") / F.col("expected"), 6))
+    return stats.describe(df, "ratio", digits=DIGITS)
 
 
 def _outcomes(p: Proxies) -> DataFrame:
