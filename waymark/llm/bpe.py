@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 #: The pre-tokenizer's pattern; a fixed value of the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE, CHUNK, LONG = 200_000, 1 << 20, 256
+CACHE, CHUNK, LONG = 50_000, 1 << 19, 256
 _NONE = np.int32(2**31 - 1)
 
 
@@ -210,17 +210,25 @@ class Codec:
         return b"".join(self.piece.get(i, b"") for i in ids).decode("utf-8", "replace")
 
 
+#: The codec of this process, by the digest of its file.
+_codecs: dict[str, Codec] = {}
+
+
+def _kept_codec(digest: str, spec) -> Codec:
+    """This process's codec. A Python worker builds one and keeps it for all its tasks."""
+    if digest not in _codecs:
+        _codecs.clear()
+        _codecs[digest] = Codec(spec.value)
+    return _codecs[digest]
+
+
 def _codec(docs: DataFrame, path: str | None):
     """The tokenizer file's text is read on the driver and sent out once (about 2 MB)."""
     with open(path or default_path(), encoding="utf-8") as f:
-        spec = docs.sparkSession.sparkContext.broadcast(f.read())
-
-    def get(held: list = []) -> Codec:  # noqa: B006  one for each Python worker
-        if not held:
-            held.append(Codec(spec.value))
-        return held[0]
-
-    return get
+        text = f.read()
+    spec = docs.sparkSession.sparkContext.broadcast(text)
+    digest = hashlib.sha256(text.encode()).hexdigest()
+    return lambda: _kept_codec(digest, spec)
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -31,6 +31,8 @@ from . import shared
 
 KEY = b"waymark surrogate key"
 FEISTEL = 8
+#: Rows that are rewritten at a time.
+ROWS = 1000
 
 _TITLES = {
     "Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Don": "m", "господин": "m", "Господин": "m",
@@ -290,7 +292,7 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Surrogates(key)
-        for b in batches:
+        for b in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             texts, counts, kinds = [], [], []
             for x, a in zip(b.column(text_col), b.column("__again")):
                 text = x.as_py()
