@@ -13,7 +13,11 @@ over the numbers that write that format, so one value always gets one surrogate
 drawn from lists and syllables by a keyed hash, so they can collide. The
 distinct entities of the corpus are checked: a surrogate used twice, or equal
 to a value that occurs, is drawn again in the next round, until none is left.
-Such exceptions travel by a join to the documents that need them, nothing about
+From round ``NARROW`` on, when the values of a format may be used up, surrogates
+are wider than their values, by one more place each round (names by a syllable,
+addresses go to IPv6's 2001:db8::/32), so that rounds come to an end. Letters and
+digits outside ``_ALPHABETS`` stay in their script; a secret without any letter
+or digit becomes a keyed token of its length. Such exceptions travel by a join to the documents that need them, nothing about
 entities is collected.
 """
 
@@ -21,7 +25,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Iterator
+from ipaddress import IPv6Address
 from math import isqrt, prod
 
 import pyarrow as pa
@@ -31,6 +37,8 @@ from . import shared
 
 KEY = b"waymark surrogate key"
 FEISTEL = 8
+#: Draws in a value's own format before surrogates get wider.
+NARROW = 8
 #: Rows that are rewritten at a time.
 ROWS = 1000
 
@@ -118,7 +126,28 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
 
 
 _ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþßÿ", "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "αβγδεζηθικλμνξοπρστυφχψω"]
-_OF = {c: a for a in _ALPHABETS for c in a}
+
+
+class _Alphabets(dict):
+    """The alphabet of a character, "" if it stays: ``_ALPHABETS``, else the digits of its script or its like among 256 code points."""
+
+    def __missing__(self, c: str) -> str:
+        found = ""
+        if c.isdecimal():
+            zero = ord(c) - unicodedata.decimal(c)
+            found = "".join(map(chr, range(zero, zero + 10)))
+        elif c.isalnum():
+            like = lambda x: (unicodedata.category(x), x.lower() == x, x.isalnum())
+            block = map(chr, range(ord(c) & ~0xFF, (ord(c) | 0xFF) + 1))
+            found = "".join(x for x in block if like(x) == like(c) and x not in _COMMON)
+        found = found if len(found) > 1 else ""
+        self[c] = found
+        return found
+
+
+_COMMON = frozenset("".join(_ALPHABETS))
+_OF = _Alphabets({c: a for a in _ALPHABETS for c in a})
+_TOKEN = "".join(_ALPHABETS[:3])
 _HEX = ("0123456789abcdef", "0123456789ABCDEF")
 
 
@@ -154,20 +183,28 @@ class Surrogates:
             of = dict.fromkeys(hexadecimal, hexadecimal)
         else:
             of = _OF
-        sizes = [len(of[c]) for c in value if c in of]
-        shape = "".join(of[c][0] if c in of else c for c in value)
+        sizes = [len(of[c]) for c in value if of[c]]
+        shape = "".join(of[c][0] if of[c] else c for c in value)
         x = 0
         for c in value:
-            if c in of:
+            if of[c]:
                 x = x * len(of[c]) + of[c].index(c)
         x = self._permute(x, prod(sizes), shape, bool(hexadecimal), *tweak)
         out = list(value)
         for k in range(len(value) - 1, -1, -1):
-            if (alphabet := of.get(value[k])) is not None:
+            if alphabet := of[value[k]]:
                 x, d = divmod(x, len(alphabet))
                 out[k] = alphabet[d]
         return "".join(out)
 
+    def _token(self, n: int, alphabet: str, *tweak: object) -> str:
+        """``n`` characters by the keyed hash."""
+        return "".join(alphabet[self._hash("token", k, *tweak) % len(alphabet)] for k in range(n))
+
+    def _wider(self, attempt: int, alphabet: str, *tweak: object) -> str:
+        """What a surrogate is longer by: nothing at first, then one more character for each attempt."""
+        return self._token(max(0, attempt - NARROW + 1), alphabet, attempt, *tweak)
+
     def canonical(self, kind: str, value: str) -> str:
         """What mentions of one entity share."""
         if kind in ("card", "phone", "ssn"):
@@ -179,6 +216,8 @@ class Surrogates:
     def of(self, kind: str, canonical: str, detail: str = "", attempt: int = 0) -> str:
         """The surrogate of a canonical value, itself canonical."""
         if kind == "ip":
+            if attempt >= NARROW:
+                return str(IPv6Address((0x20010DB8 << 96) + self._hash(kind, canonical, attempt) % 2**96))
             x = 0
             for o in canonical.split("."):
                 x = x * 256 + int(o)
@@ -187,13 +226,15 @@ class Surrogates:
         if kind == "email":
             local, domain = canonical.rsplit("@", 1)
             host, top = domain.rsplit(".", 1)
-            return self._shaped(f"{local}@{host}", kind, attempt) + "." + top
+            local, host = self._shaped(f"{local}@{host}", kind, attempt).split("@")
+            return f"{local}{self._wider(attempt, _ALPHABETS[1], kind, canonical)}@{host}.{top}"
         if kind == "card":
             # The check digit follows from the rest; one that was wrong stays wrong by as much.
             off, head = _luhn(canonical), canonical[:1] + self._shaped(canonical[1:-1], kind, canonical[0], _luhn(canonical), attempt)
-            return head + str((off - _luhn(head + "0")) % 10)
+            head += self._wider(attempt, _OF[canonical[-1]], kind, canonical)
+            return head + _OF[canonical[-1]][(off - _luhn(head + "0")) % 10]
         if kind == "iban":
-            body = self._shaped(canonical[4:], kind, canonical[:2], attempt)
+            body = self._shaped(canonical[4:], kind, canonical[:2], attempt) + self._wider(attempt, _ALPHABETS[0], kind, canonical)
             return canonical[:2] + f"{98 - _mod97(canonical[:2] + '00' + body):02d}" + body
         if kind == "name":
             script = "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in canonical) else "latin"
@@ -202,20 +243,25 @@ class Surrogates:
             given = _GIVEN[script, detail if detail != "n" else "mf"[h % 2]]
             out = [given[(h >> 8 * (k + 1)) % len(given)].lower() for k in range(len(words) - 1)]
             parts = _SYLLABLES[script]
-            family = "".join(parts[(h >> 64 + 8 * k) % len(parts)] for k in range(4)) + _ENDING.get((script, detail), "")
+            family = "".join(parts[(h >> 64 + 8 * k) % len(parts)] for k in range(4))
+            family += "".join(parts[self._hash(kind, canonical, detail, attempt, k) % len(parts)] for k in range(attempt - NARROW + 1)) + _ENDING.get((script, detail), "")
             return " ".join([*out, family])
-        return self._shaped(canonical, kind, attempt)
+        if kind == "secret":
+            if any(_OF[c] for c in canonical):
+                return self._shaped(canonical, kind, attempt) + self._wider(attempt, _ALPHABETS[0], kind, canonical)
+            return self._token(len(canonical), _TOKEN, kind, canonical, attempt) + self._wider(attempt, _TOKEN, kind, canonical)
+        return self._shaped(canonical, kind, attempt) + self._wider(attempt, _OF[canonical[-1]], kind, canonical)
 
     def written(self, kind: str, value: str, surrogate: str) -> str:
         """``surrogate`` in the format of the mention ``value``."""
         if kind in ("card", "phone", "ssn"):
             digits = iter(surrogate)
-            return re.sub(r"\d", lambda m: next(digits), value)
+            return re.sub(r"\d", lambda m: next(digits), value) + "".join(digits)
         if kind == "iban":
             chars = iter(surrogate)
-            return "".join(c if c == " " else next(chars) for c in value)
+            return "".join(c if c == " " else next(chars) for c in value) + "".join(chars)
         if kind == "email":
-            return "".join(s.upper() if c.isupper() and len(s.upper()) == 1 else s for c, s in zip(value, surrogate))
+            return "".join(s.upper() if c.isupper() and s.upper().lower() == s else s for c, s in zip(value, surrogate)) + surrogate[len(value) :]
         if kind == "name":
             return surrogate.upper() if value.isupper() and len(value) > 1 else surrogate.title()
         return surrogate
@@ -252,11 +298,15 @@ def _again(key: bytes):
     return of
 
 
-def resolve(entities: DataFrame, key: bytes = KEY, rounds: int = 50) -> DataFrame:
-    """``entities`` (kind, value, detail, surrogate), distinct, with attempt and collision-free surrogates."""
+def resolve(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+    """``entities`` (kind, value, detail, surrogate), distinct, with attempt and collision-free surrogates.
+
+    There are as many rounds as it takes: from ``NARROW`` on, each chooses among at
+    least ten times the surrogates of the one before (addresses among 2^96).
+    """
     current = shared.table(entities.distinct().withColumn("attempt", F.lit(0)), "entities")
     me = F.struct("value", "detail")
-    for _ in range(rounds):
+    while True:
         # The smallest user of a surrogate keeps it, unless the surrogate occurs in the corpus.
         users = current.groupBy("kind", "surrogate").agg(F.min(me).alias("first"), F.count("*").alias("n"))
         real = current.select("kind", F.col("value").alias("surrogate")).distinct().withColumn("real", F.lit(True))
@@ -269,7 +319,6 @@ def resolve(entities: DataFrame, key: bytes = KEY, rounds: int = 50) -> DataFram
         lost = judged.where("lost").drop("lost").withColumn("attempt", F.col("attempt") + 1)
         renewed = lost.mapInArrow(_again(key), lost.schema)
         current = shared.table(judged.where("not lost").drop("lost").union(renewed), "entities")
-    raise RuntimeError("surrogates still collide")
 
 
 def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
