@@ -4,17 +4,13 @@ Words are lower-cased, with ASCII punctuation taken as space. An item of n words
 is in a document if some passage is within floor(n / 5) word edits of it
 (similarity 0.8 or more).
 
-Candidate windows have an item's size and start where a run of three words of
-the document fits the item; an item with that few edits keeps at least
-n - 2 - 3 * edits of its runs, so from two kept runs on, windows with one are
-left out (fewer are asked for where the bound is lower). Windows and items are
-then embedded by CGK random walks: in every step the walk puts out the word
-under its pointer and moves on if a random bit of step and word says so, which
-turns edits into a bounded number of differing places. Bit-sampling LSH compares
-``PLACES`` sampled places in each of ``TABLES`` tables for each of ``WALKS``
-walks; pairs that agree in one table are verified by exact edit distance
-(Myers' bit-parallel approximate matching, over the window and the edits
-around it).
+An item with that few edits keeps at least n - 2 - 3 * edits of its runs of three
+words, all on diagonals (place in the text less place in the item) within the
+edits of the passage's start. Where a text holds that many runs of an item on
+diagonals at most 2 * edits apart, the text around them is verified by exact edit
+distance (Myers' bit-parallel approximate matching). No passage within the
+allowed edits is lost, whatever the item's length; embedding by random walks and
+bit-sampling LSH, which lost passages of long items, is not used.
 
 Items are sent to all tasks in blocks of at most ``BLOCK`` items, one pass over
 the documents for each block; nothing is shuffled but the pairs found.
@@ -30,11 +26,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .wordhash import Rolling, U, buffers, mix, pieces, word_hashes, words
+from .wordhash import Rolling, U, buffers, pieces, word_hashes, words
 
 RUN, PERCENT = 3, 20
-WALKS, TABLES, PLACES = 6, 6, 2
-BLOCK, SEED = 10_000, 7
+BLOCK = 10_000
 _FILTER = 22
 _PUNCTUATION = np.arange(256, dtype=np.uint8)
 _PUNCTUATION[[c for c in range(128) if not chr(c).isalnum() and c > 32]] = 32
@@ -72,7 +67,7 @@ def distance(item: list[int], passage: list[int]) -> int:
 
 
 class Items:
-    """A block of benchmark items, indexed by runs and by LSH keys."""
+    """A block of benchmark items, indexed by runs."""
 
     def __init__(self, ids: list, texts: list[str | None]):
         data, offsets = _normal(pa.array(texts, pa.string()))
@@ -86,7 +81,7 @@ class Items:
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.edits = self.size * PERCENT // 100
         run = np.minimum(RUN, self.size)
-        self.need = np.clip(self.size - run + 1 - run * self.edits, 1, 2)
+        self.need = np.maximum(self.size - run + 1 - run * self.edits, 1)
         self.runs = {}
         for k in sorted(set(run.tolist())):
             gram, item, off = [], [], []
@@ -100,48 +95,11 @@ class Items:
             maybe = np.zeros(1 << _FILTER, bool)
             maybe[gram >> U(64 - _FILTER)] = True
             self.runs[k] = gram[order], item[order], off[order], maybe
-        self.tables = {}
-        for n in sorted(set(self.size.tolist())):
-            own = np.flatnonzero(self.size == n)
-            keys = lsh_keys(np.stack([self.words[i] for i in own]))
-            flat = keys.ravel()
-            order = np.argsort(flat, kind="stable")
-            self.tables[n] = flat[order], np.repeat(own, keys.shape[1])[order]
-
-
-def lsh_keys(symbols: np.ndarray) -> np.ndarray:
-    """The keys (rows x tables) of equally long word sequences."""
-    rows, n = symbols.shape
-    random = np.random.default_rng([SEED, n])
-    steps = 3 * n
-    out = np.zeros((rows, WALKS * TABLES), U)
-    padded = np.concatenate([symbols, np.zeros((rows, 1), U)], axis=1)
-    k = np.arange(rows)
-    for walk in range(WALKS):
-        seeds = random.integers(0, 2**63, size=steps // 61 + 1, dtype=np.uint64)
-        # Walks reach the end after about 2 n steps; sample where words still come.
-        chosen = [np.sort(random.choice(2 * n, size=min(PLACES, 2 * n), replace=False)) for _ in range(TABLES)]
-        at_step = defaultdict(list)
-        for t, places in enumerate(chosen):
-            for j in places.tolist():
-                at_step[j].append(t)
-        pointer = np.zeros(rows, np.int64)
-        for j in range(max(at_step) + 1):
-            if j % 61 == 0:
-                coin = mix(padded ^ seeds[j // 61])
-                coin[:, n] = 0  # at the end the walk stays
-            if j in at_step:
-                word = padded[k, pointer]
-                for t in at_step[j]:
-                    col = walk * TABLES + t
-                    out[:, col] = mix(out[:, col] * U(3) + word + U(j + 1))
-            pointer += ((coin[k, pointer] >> U(j % 61)) & U(1)).astype(np.int64)
-    return mix(out ^ np.arange(1, WALKS * TABLES + 1, dtype=U) * U(0x9E3779B97F4A7C15))
-
-
-def _windows(items: Items, h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, start, size) of candidate windows; short texts give shorter ones."""
-    rolling, found = Rolling(h), []
+
+
+def _windows(items: Items, h: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first, last): words of a text that hold any passage within the item's edits."""
+    rolling = Rolling(h)
     text_of = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     for k, (gram, item, off, maybe) in items.runs.items():
         g = rolling.all(k)
@@ -153,18 +111,24 @@ def _windows(items: Items, h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarra
         place = np.repeat(hit, n)
         i, start = item[entry], place - off[entry]
         text = text_of[place]
-        # Runs of one item in one text whose starts lie within the edits of each other.
+        # Runs of one item in one text by diagonal: enough of them within twice the edits.
         order = np.lexsort((start, i, text))
         i, start, text = i[order], start[order], text[order]
-        edits, need = items.edits[i], items.need[i]
-        close = (i[1:] == i[:-1]) & (text[1:] == text[:-1]) & (start[1:] - start[:-1] <= 2 * edits[1:])
-        keep = (need < 2) | np.r_[False, close] | np.r_[close, False]
-        found.append((text[keep], start[keep], items.size[i[keep]]))
-    text, start, size = (np.concatenate(x) for x in zip(*found))
-    first, last = bounds[text], bounds[text + 1]
-    start = np.clip(start, first, np.maximum(first, last - size))
-    each = np.unique(np.stack([text, start, size]), axis=1)
-    return each[0], each[1], each[2]
+        own = np.arange(len(i))
+        other = own + items.need[i] - 1
+        own, other = own[other < len(i)], other[other < len(i)]
+        reach = 2 * items.edits[i[own]]
+        own = own[(i[own] == i[other]) & (text[own] == text[other]) & (start[other] - start[own] <= reach)]
+        i, start, text = i[own], start[own], text[own]
+        # The passage starts within the edits of ``start``; those that overlap are verified as one.
+        edits, size = items.edits[i], items.size[i]
+        first = np.maximum(start - edits, bounds[text])
+        last = np.minimum(start + size + 2 * edits, bounds[text + 1])
+        new = np.r_[True, (i[1:] != i[:-1]) | (text[1:] != text[:-1]) | (first[1:] > last[:-1])][: len(i)]
+        at = np.flatnonzero(new)
+        if len(at):
+            end = np.r_[at[1:], len(i)] - 1
+            yield from zip(text[at].tolist(), i[at].tolist(), first[at].tolist(), last[end].tolist())
 
 
 def find(items: Items, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], int]:
@@ -173,33 +137,13 @@ def find(items: Items, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int,
     if not len(starts) or not items.ids:
         return {}
     h = word_hashes(data, starts, ends)
-    text, start, size = _windows(items, h, bounds)
-    pairs = set()
-    for n in np.unique(size).tolist():
-        own = np.flatnonzero(size == n)
-        whole = start[own] + n <= bounds[text[own] + 1]
-        keys, item_of = items.tables[n]
-        for a in range(0, len(own), 20_000):
-            w = own[whole][a : a + 20_000]
-            if not len(w):
-                break
-            got = lsh_keys(h[start[w][:, None] + np.arange(n)])
-            lo, hi = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
-            row, col = np.nonzero(hi > lo)
-            for r, c in zip(row.tolist(), col.tolist()):
-                pairs.update((int(w[r]), int(i)) for i in item_of[lo[r, c] : hi[r, c]])
-        for w in own[~whole].tolist():  # the text is shorter than the item: verified as it is
-            pairs.update((w, int(i)) for i in np.flatnonzero(items.size == n) if bounds[text[w] + 1] - start[w] >= n - items.edits[i])
     out: dict[tuple[int, int], int] = {}
-    for w, i in sorted(pairs):
-        t, e, n = int(text[w]), int(items.edits[i]), int(items.size[i])
-        key = (t, i)
-        if out.get(key) == 0:
+    for t, i, a, b in _windows(items, h, bounds):
+        if out.get((t, i)) == 0:
             continue
-        a, b = max(int(bounds[t]), int(start[w]) - 2 * e), min(int(bounds[t + 1]), int(start[w]) + n + 2 * e)
-        d = distance(items.words[i].tolist(), h[a:b].tolist())
-        if d <= e and d < out.get(key, e + 1):
-            out[key] = d
+        d, e = distance(items.words[i].tolist(), h[a:b].tolist()), int(items.edits[i])
+        if d <= e and d < out.get((t, i), e + 1):
+            out[t, i] = d
     return out
 
 
