@@ -34,3 +34,17 @@ def test_no_passage_is_lost(n, how):
     got = found(bench, texts)
     assert set(got) == {(k, k) for k in range(40)}
     assert all(got[k, k] == D.distance([hash(w) for w in bench[k]], [hash(w) for w in texts[k]]) for k in range(40))
+
+
+def test_a_run_of_two_words_is_enough_for_five():
+    bench = [list("abcde")]
+    texts = [list("xabZdey"), list("xabdey"), list("abcQde"), list("aZcYe")]
+    assert found(bench, texts) == {(0, 0): 1, (1, 0): 1, (2, 0): 1}
+
+
+def test_small_items_against_brute_force():
+    rng = random.Random(2)
+    bench = [[rng.choice("abcdefgh") for _ in range(n)] for n in range(1, 16) for _ in range(4)]
+    texts = [[rng.choice("abcdefgh") for _ in range(rng.randrange(30))] for _ in range(300)]
+    want = {(t, i): e for t, x in enumerate(texts) for i, b in enumerate(bench) if (e := D.distance([ord(c) for c in b], [ord(c) for c in x])) <= D.edits_allowed(len(b))}
+    assert found(bench, texts) == want

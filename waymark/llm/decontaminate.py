@@ -5,7 +5,7 @@ is in a document if some passage is within floor(n / 5) word edits of it
 (similarity 0.8 or more).
 
 An item with that few edits keeps at least n - 2 - 3 * edits of its runs of three
-words, all on diagonals (place in the text less place in the item) within the
+words (of floor(n / (edits + 1)) words where that is less than one), all on diagonals (place in the text less place in the item) within the
 edits of the passage's start. Where a text holds that many runs of an item on
 diagonals at most 2 * edits apart, the text around them is verified by exact edit
 distance (Myers' bit-parallel approximate matching). No passage within the
@@ -80,7 +80,9 @@ class Items:
                 self.words.append(h[a:b])
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.edits = self.size * PERCENT // 100
-        run = np.minimum(RUN, self.size)
+        # Where edits can hit every run of three, the longest part that no edit hits is the run.
+        few = self.size - RUN + 1 - RUN * self.edits < 1
+        run = np.where(few, np.minimum(RUN, self.size // (self.edits + 1)), RUN)
         self.need = np.maximum(self.size - run + 1 - run * self.edits, 1)
         self.runs = {}
         for k in sorted(set(run.tolist())):
