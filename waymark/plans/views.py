@@ -140,6 +140,18 @@ def cached_by_scene(p: Proxies) -> DataFrame:
     return df.groupBy("scene").agg(F.array_join(flat.cast("array<string>"), ",").alias("cached"))
 
 
+@query(sql("SELECT scene, label, i, x, round(y, 6) AS y, row_number() OVER (PARTITION BY scene ORDER BY label, i) AS position FROM path_point", "path_point"))
+def cached_points(p: Proxies) -> DataFrame:
+    """All points cached of all paths, with their position (from 1) among those of the scene, paths by label.
+
+    No task gathers a scene: positions are numbers over all points less the scene's first.
+    """
+    points = p.path_point().select(F.struct(*PATH, "i", "x", "y").alias("key"))
+    placed = numbered(points, "key", "k").select("key.*", "k")
+    first = placed.groupBy("scene").agg(F.min("k").alias("first"))
+    return placed.join(first, "scene").select(*PATH, "i", "x", F.round("y", 6).alias("y"), (F.col("k") - F.col("first") + 1).alias("position"))
+
+
 @query(sql("SELECT path, i, last(CASE WHEN y > 5 THEN y END IGNORE NULLS) OVER (PARTITION BY path ORDER BY i) AS padded FROM frame", "frame"))
 def padded_distances(p: Proxies) -> DataFrame:
     w = W.partitionBy("path").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
