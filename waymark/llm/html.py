@@ -1,34 +1,45 @@
 """Main text of web pages.
 
 A page is cut into lines, one for each block. Menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and reader comments are known by
-element, role, class or id and never give lines. In a page with an ``article``
-or ``main`` element, or one whose class or id names the content, its lines are
-the text.
-
-In a page without one, template lines cannot be told by markup. There the
-nearest page by URL path on the same host decides: both pages' lines are
-aligned by their longest common subsequence and the shared lines are deleted,
-unless they make up ``COPY`` of either page's text, which marks a copy and not a
-template. Pages are paired by one global sort (host, path, id), so a host with
-a third of all pages is spread over as many tasks as any other rows.
+notices, adverts, forms, scripts, styles and reader comments that markup names as
+such (by element, role, class or id) never give lines; what an ``article`` or
+``main`` element, or one whose class or id names the content, holds is preferred
+to what stands outside.
+
+Page differencing then judges the lines of every page. Pages are put in order of
+host and URL path. A page's lines are aligned, by their longest common
+subsequence, with those of the nearest pages of its host: of the ``NEAR`` pages
+before and behind it, the up to ``ENOUGH`` that share the longest start of the
+path. A page of which shared lines make up ``COPY`` of both texts is a copy and
+tells nothing of the template; the next nearest takes its place. Lines shared
+with most of the pages compared are the template's and deleted. Articles also
+quote and repeat each other's lines (licences, copies), so inside a landmark up to
+``ENOUGH_INSIDE`` and at least ``LEAST_INSIDE`` pages are compared, and all of
+them must share a line.
+
+Pages are numbered by one global sort and compared in chunks of ``CHUNK``
+neighbours, each with the few pages next to it, so a host with a third of all
+pages is spread over as many tasks as any other rows.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from bisect import bisect_left
-from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import shared
 from .urls import host_path
 
-COPY = 0.8
+NEAR, ENOUGH, COPY, CHUNK = 4, 3, 0.8, 128
+ENOUGH_INSIDE, LEAST_INSIDE = 6, 4
+#: Rows times columns up to which an alignment is kept whole; larger ones are halved first.
+WHOLE = 1 << 27
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
@@ -84,8 +95,8 @@ def _content(attributes: dict[str, str]) -> bool:
     return not _CONTENT.isdisjoint(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split())
 
 
-def lines(page: str) -> tuple[list[str], bool]:
-    """The lines that may be main text, and whether a landmark element holds them."""
+def lines(page: str) -> tuple[list[str], list[str], bool]:
+    """The lines that may be main text, the others that markup does not rule out, and whether a landmark holds the first."""
     out: list[tuple[str, int]] = []
     stack: list[tuple[str, bool, int]] = []  # name, skipped, inside: 2 a landmark element, 1 one named for content
     skip, inside, landmark, at = False, 0, 0, 0
@@ -150,108 +161,203 @@ def lines(page: str) -> tuple[list[str], bool]:
     if not skip:
         text.append(re.sub(r"<[a-zA-Z/!?].*\Z", "", page[at:], flags=re.S))
     flush()
-    return [x for x, own in out if own >= landmark], landmark > 0
+    return [x for x, own in out if own >= landmark], [x for x, own in out if own < landmark], landmark > 0
 
 
-def common(a: list[str], b: list[str]) -> list[int]:
-    """Places in ``a`` of a longest common subsequence with ``b`` (Hunt and Szymanski)."""
-    where = defaultdict(list)
+def _rows(a: list[str], b: list[str]) -> Iterator[int]:
+    """After each line of ``a`` a number of len(b) bits; zeros up to place j count the common subsequence with b[:j]."""
+    where: dict[str, int] = {}
     for j, x in enumerate(b):
-        where[x].append(j)
-    ends: list[int] = []
-    chain: list[tuple[int, tuple | None]] = []
-    for i, x in enumerate(a):
-        for j in reversed(where.get(x, ())):
-            k = bisect_left(ends, j)
-            link = (i, chain[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                chain.append(link)
-            else:
-                ends[k], chain[k] = j, link
-    out, link = [], chain[-1] if chain else None
-    while link:
-        out.append(link[0])
-        link = link[1]
+        where[x] = where.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    v = full
+    for x in a:
+        u = v & where.get(x, 0)
+        v = (v + u | v - u) & full
+        yield v
+
+
+def _lengths(a: list[str], b: list[str]) -> np.ndarray:
+    """The length of the longest common subsequence of ``a`` with b[:j] for every j."""
+    v = (1 << len(b)) - 1
+    for v in _rows(a, b):
+        pass
+    bits = np.unpackbits(np.frombuffer(v.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.r_[0, np.cumsum(1 - bits.astype(np.int64))]
+
+
+def common(a: list[str], b: list[str]) -> list[int]:
+    """Places in ``a`` of a longest common subsequence with ``b``.
+
+    Bit-parallel, one big number for each line of ``a``; large alignments are cut
+    in halves (Hirschberg), so equal lines by the thousand cost no pairs.
+    """
+    lo, most = 0, min(len(a), len(b))
+    while lo < most and a[lo] == b[lo]:
+        lo += 1
+    hi = 0
+    while hi < most - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    both = set(a[lo : len(a) - hi]) & set(b[lo : len(b) - hi])
+    at = [k for k in range(lo, len(a) - hi) if a[k] in both]
+    x, y = [a[k] for k in at], [v for v in b[lo : len(b) - hi] if v in both]
+    return [*range(lo), *(at[k] for k in _inner(x, y)), *range(len(a) - hi, len(a))]
+
+
+def _inner(a: list[str], b: list[str]) -> list[int]:
+    if not a or not b:
+        return []
+    if len(a) * len(b) > WHOLE and len(a) > 1:
+        half = len(a) // 2
+        through = _lengths(a[:half], b) + _lengths(a[half:][::-1], b[::-1])[::-1]
+        cut = int(through.argmax())
+        return [*_inner(a[:half], b[:cut]), *(half + k for k in _inner(a[half:], b[cut:]))]
+    rows = list(_rows(a, b))
+    out, i, j = [], len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> (j - 1) & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not i or rows[i - 1] >> (j - 1) & 1:
+            out.append(i)
+            j -= 1
     return out[::-1]
 
 
-def difference(own: list[str], other: list[str]) -> list[str]:
-    """The lines of ``own`` without those it shares with the page ``other``."""
-    places = common(own, other)
-    shared_chars = sum(len(own[i]) for i in places)
-    if not places or shared_chars >= COPY * min(sum(map(len, own)), sum(map(len, other))):
-        return own
-    gone = set(places)
-    return [x for i, x in enumerate(own) if i not in gone]
+class Page:
+    """A page in the order of its host's paths, with the lines it may keep and its other ones."""
 
+    __slots__ = ("host", "path", "own", "rest", "landmark")
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts, loose = [], []
-        for page in b.column("html"):
-            found, landmark = lines(page.as_py() or "")
-            texts.append(" ".join(found) if landmark or not found else None)
-            loose.append(None if landmark or not found else found)
-        yield pa.record_batch(
-            [b.column("page_id"), b.column("url"), b.column("key"), pa.array(texts, pa.string()), pa.array(loose, pa.list_(pa.string()))],
-            names=["page_id", "url", "key", "text", "loose"],
-        )
-
-
-def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = [
-            " ".join(difference(own.as_py(), other.as_py()) if other.is_valid else own.as_py()) for own, other in zip(b.column("loose"), b.column("other"))
-        ]
-        yield pa.record_batch([b.column("key"), pa.array(texts, pa.string())], names=["key", "decided"])
+    def __init__(self, host: str, path: str, own: list[str], rest: list[str], landmark: bool):
+        self.host, self.path, self.own, self.rest, self.landmark = host, path, own, rest, landmark
+
+    def pack(self) -> bytes:
+        return zstandard.ZstdCompressor(level=1).compress("\n".join(["1" if self.landmark else "0", str(len(self.own)), *self.own, *self.rest]).encode())
 
+    @classmethod
+    def unpack(cls, host: str, path: str, packed: bytes) -> Page:
+        flag, n, *found = zstandard.ZstdDecompressor().decompress(packed).decode().split("\n")
+        return cls(host, path, found[: int(n)], found[int(n) :], flag == "1")
 
-def nearest(keys: DataFrame) -> DataFrame:
-    """(key, partner): for each of ``keys`` (key, host, path), the neighbour on its host
-    in the order of paths that shares the longer start of the path, the one before on a tie."""
+
+def _alike(a: str, b: str) -> int:
+    """The length of the common start."""
+    if a == b:
+        return len(a)
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def template(page: Page, before: list[Page], behind: list[Page]) -> set[int]:
+    """Places of the page's lines that are its host's template; ``before`` and ``behind`` are its neighbours, nearest first."""
+    near = [(-_alike(page.path, q.path), k, side, q) for side, qs in enumerate((before, behind)) for k, q in enumerate(qs) if q.host == page.host]
+    compared, times = 0, [0] * len(page.own)
+    chars = sum(map(len, page.own))
+    for *_, q in sorted(near, key=lambda x: x[:3]):
+        places = common(page.own, q.own + q.rest)
+        held = sum(len(page.own[k]) for k in places)
+        if places and held >= COPY * chars and held >= COPY * sum(map(len, q.own)):
+            continue
+        compared += 1
+        for k in places:
+            times[k] += 1
+        if compared == (ENOUGH_INSIDE if page.landmark else ENOUGH):
+            break
+    if page.landmark:
+        return {k for k, n in enumerate(times) if n == compared} if compared >= LEAST_INSIDE else set()
+    return {k for k, n in enumerate(times) if 2 * n > compared}
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        packed = [Page("", "", *lines(x.as_py() or "")).pack() for x in b.column("html")]
+        kept = [c for c in b.schema.names if c != "html"]
+        yield pa.record_batch([*(b.column(c) for c in kept), pa.array(packed, pa.binary())], names=[*kept, "packed"])
+
+
+def _judged(chunk: int) -> Callable:
+    """Texts of the pages of sorted chunks; pages that a chunk only borrows give no row."""
+    names = ["page_id", "url", "n", "host", "path", "chunk", "place", "packed"]
+
+    def solve(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
+        pages = [Page.unpack(r[2], r[3], r[6]) for r in rows]
+        take, texts = [], []
+        for k, r in enumerate(rows):
+            if r[5] // chunk != r[4]:
+                continue
+            page = pages[k]
+            gone = template(page, pages[max(0, k - NEAR) : k][::-1], pages[k + 1 : k + 1 + NEAR])
+            text = " ".join(x for i, x in enumerate(page.own) if i not in gone)
+            take.append(k)
+            texts.append(text)
+        own = [rows[k] for k in take]
+        columns = [ids.take(pa.array(take, pa.int64())), pa.array([r[0] for r in own], pa.string()), pa.array([r[1] for r in own], pa.int64()), pa.array(texts, pa.string())]
+        return pa.record_batch(columns, names=["page_id", "url", "n", "text"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        held_ids: list[pa.Array] = []
+        for b in batches:
+            columns = [b.column(c).to_pylist() for c in names[1:]]
+            rows = list(zip(*columns))
+            start = 0
+            for k, r in enumerate(rows):
+                if held and held[-1][4] != r[4]:
+                    held_ids.append(b.column("page_id").slice(start, k - start))
+                    yield solve(held, pa.concat_arrays(held_ids))
+                    held, held_ids, start = [], [], k
+                held.append(r)
+            held_ids.append(b.column("page_id").slice(start))
+        if held:
+            yield solve(held, pa.concat_arrays(held_ids))
+
+    return of
+
+
+def numbered(keys: DataFrame) -> DataFrame:
+    """``keys`` (host, path, k1, k2) with place, from 0 in the order of these columns.
+
+    Counted within sort ranges and moved by the ranges' sizes (one row for each
+    partition), so that no task sees all keys.
+    """
     spark = keys.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = keys.repartitionByRange(parts, "host", "path", "key").withColumn("part", F.spark_partition_id())
+    order = ["host", "path", "k1", "k2"]
+    dealt = keys.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
     dealt = shared.table(dealt, "paths")
-    me = F.struct("host", "path", "key")
-    order = W.partitionBy("part").orderBy("host", "path", "key")
-    # One row for each partition: what lies next to its first and last row.
-    ends = dealt.groupBy("part").agg(F.min(me).alias("lo"), F.max(me).alias("hi"))
-    across = W.orderBy("part")
-    ends = ends.select("part", F.lag("hi").over(across).alias("left"), F.lead("lo").over(across).alias("right"))
-    near = dealt.withColumns({"b": F.lag(me).over(order), "a": F.lead(me).over(order)}).join(F.broadcast(ends), "part")
-    near = near.select("key", "host", "path", F.coalesce("b", "left").alias("b"), F.coalesce("a", "right").alias("a"))
-
-    def alike(x: str):
-        other = F.col(f"{x}.path")
-        n = F.least(F.char_length("path"), F.char_length(other))
-        steps = F.sequence(F.lit(0), n)
-        return F.when(F.col(f"{x}.host") == F.col("host"), F.array_max(F.filter(steps, lambda k: F.substring(F.col("path"), F.lit(1), k) == F.substring(other, F.lit(1), k))))
-
-    near = near.withColumns({"sb": F.coalesce(alike("b"), F.lit(-1)), "sa": F.coalesce(alike("a"), F.lit(-1))})
-    partner = F.when((F.col("sb") >= F.col("sa")) & (F.col("sb") >= 0), F.col("b.key")).when(F.col("sa") >= 0, F.col("a.key"))
-    return near.select("key", partner.alias("partner"))
-
-
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    sizes = dealt.groupBy("part").agg(F.count("*").alias("size"))
+    sizes = sizes.select("part", F.coalesce(F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inside = F.row_number().over(W.partitionBy("part").orderBy(*order)) - 1
+    return dealt.withColumn("place", inside).join(F.broadcast(sizes), "part").withColumn("place", F.col("place") + F.col("before")).select(*order, "place")
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", chunk: int = CHUNK) -> DataFrame:
     """(page_id, url, text, n_chars): one row for each row of ``pages``.
 
     Null or empty html gives an empty text. A null URL has an empty host and
-    path like any other without ``://``. Equal rows (id, URL and html) count as
-    one page when pages are paired and come out as often as they went in. An
-    unclosed element ends with the page.
+    path like any other without ``://``, and such pages are neighbours. Pages
+    with equal host and path (ties) follow each other by a hash of the row. Equal
+    rows (id, URL and html) count as one page when pages are compared and come
+    out as often as they went in. An unclosed element ends with the page. Pages
+    are cut and aligned whole, however long. An empty table gives no rows; other
+    columns are unused.
     """
-    source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    source = source.withColumn("key", F.xxhash64("page_id", "url", "html"))
-    kind = source.schema["page_id"].dataType.simpleString()
-    cut = shared.table(source.mapInArrow(_cut, f"page_id {kind}, url string, key long, text string, loose array<string>"), "lines")
+    source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    source = source.withColumns({"k1": F.xxhash64("page_id", "url", "html"), "k2": F.xxhash64(F.lit("page"), "html", "url", "page_id")})
     host, path = host_path(F.col("url"))
-    loose = cut.where("loose is not null").select("key", "loose", host.alias("host"), path.alias("path")).dropDuplicates(["key"])
-    pairs = nearest(loose.select("key", "host", "path"))
-    other = loose.select(F.col("key").alias("partner"), F.col("loose").alias("other"))
-    decided = loose.select("key", "loose").join(pairs, "key").join(other, "partner", "left")
-    decided = decided.select("key", "loose", "other").mapInArrow(_aligned, "key long, decided string")
-    certain = cut.where("loose is null").select("page_id", "url", "text")
-    aligned = cut.where("loose is not null").join(decided, "key").select("page_id", "url", F.col("decided").alias("text"))
-    return certain.union(aligned).withColumn("n_chars", F.char_length("text").cast("long"))
+    keys = shared.table(source.select(host.alias("host"), path.alias("path"), "k1", "k2").distinct(), "keys")
+    kind = source.schema["page_id"].dataType.simpleString()
+    cut = source.mapInArrow(_cut, f"page_id {kind}, url string, k1 long, k2 long, packed binary")
+    cut = cut.groupBy("k1", "k2").agg(F.first(F.struct("page_id", "url", "packed")).alias("row"), F.count("*").alias("n"))
+    placed = cut.join(numbered(keys), ["k1", "k2"]).withColumn("at", F.col("place") % chunk)
+    own = F.floor(F.col("place") / chunk)
+    # A page at the end of its chunk is lent to the next one.
+    chunks = F.array(own, F.when(F.col("at") < NEAR, own - 1), F.when(F.col("at") >= chunk - NEAR, own + 1))
+    lent = placed.select("row.page_id", "row.url", "n", "host", "path", F.explode(F.array_compact(chunks)).alias("chunk"), F.col("place").cast("long").alias("place"), "row.packed")
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lent.repartition(parts, "chunk").sortWithinPartitions("chunk", "place")
+    judged = dealt.mapInArrow(_judged(chunk), f"page_id {kind}, url string, n long, text string")
+    # Repeated rows come out again, a thousand at a time.
+    judged = judged.withColumn("left", F.explode(F.sequence(F.col("n"), F.lit(1), F.lit(-1000)))).withColumn("left", F.explode(F.sequence(F.lit(1), F.least(F.col("left"), F.lit(1000)))))
+    return judged.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
