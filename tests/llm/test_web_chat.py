@@ -105,7 +105,7 @@ def plain_extract(rows, order):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("parts", [1, 7])
+@pytest.mark.parametrize("parts", [1, 7, 90])
 def test_extract_equals_brute_force(spark, parts):
     rng = random.Random(parts)
     rows = []
@@ -122,7 +122,7 @@ def test_extract_equals_brute_force(spark, parts):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
-        got = sorted(((r.page_id, r.text) for r in html.extract(df, chunk=16).collect()), key=str)
+        got = sorted(((r.page_id, r.text) for r in html.extract(df).collect()), key=str)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert got == plain_extract(rows, order)
@@ -154,18 +154,17 @@ def test_extract_by_differencing(spark):
     assert html.extract(spark.createDataFrame([], PAGES)).count() == 0
 
 
-def test_numbering_does_not_depend_on_partitions(spark):
+@pytest.mark.parametrize("parts", [1, 7, 120])
+def test_ranges_lend_the_nearest_keys(spark, parts):
     rng = random.Random(2)
-    keys = [(f"h{rng.randrange(3)}", f"/{rng.choice('ab')}/{rng.randrange(50)}", rng.randrange(9), k) for k in range(300)]
-    want = {key: n for n, key in enumerate(sorted(keys))}
-    df = spark.createDataFrame(keys, "host string, path string, k1 long, k2 long")
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        for parts in (1, 7):
-            spark.conf.set("spark.sql.shuffle.partitions", parts)
-            assert {tuple(r)[:4]: r.place for r in html.numbered(df).collect()} == want
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    keys = [(f"h{rng.randrange(3)}", f"/{rng.choice('aé')}/{rng.randrange(50)}", rng.randrange(9), k) for k in range(200)]
+    cuts = html.ranges(spark.createDataFrame(keys, "host string, path string, k1 long, k2 long"), parts)
+    order = sorted((h.encode(), p.encode(), a, b) for h, p, a, b in keys)
+    own = [cuts.of(k)[0] for k in order]
+    assert own == sorted(own) and len(set(own)) == len(cuts.bounds) <= parts
+    for n, key in enumerate(order):
+        want = {own[m] for m in range(max(0, n - html.NEAR), min(len(order), n + html.NEAR + 1))} - {own[n]}
+        assert set(cuts.of(key)[1]) == want
 
 
 def plain_verdict(url):

@@ -17,26 +17,31 @@ quote and repeat each other's lines (licences, copies), so inside a landmark up
 ``ENOUGH_INSIDE`` and at least ``LEAST_INSIDE`` pages are compared, and all of
 them must share a line.
 
-Pages are numbered by one global sort and compared in chunks of ``CHUNK``
-neighbours, each with the few pages next to it, so a host with a third of all
-pages is spread over as many tasks as any other rows.
+The order is cut in ranges of about equally many pages, one for each shuffle
+partition; a range's task also gets the ``NEAR`` pages next to its ends. So a host
+with a third of all pages is spread over as many tasks as any other rows, and the
+lines of a page are shuffled once. The ranges' ends (at most 2 * ``NEAR`` keys for
+each partition) are what is collected and broadcast.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
+from collections import Counter, deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
 from . import shared
 from .urls import host_path
 
-NEAR, ENOUGH, COPY, CHUNK = 4, 3, 0.8, 128
+NEAR, ENOUGH, COPY = 4, 3, 0.8
 ENOUGH_INSIDE, LEAST_INSIDE = 6, 4
 #: Rows times columns up to which an alignment is kept whole; larger ones are halved first.
 WHOLE = 1 << 27
@@ -269,70 +274,123 @@ def template(page: Page, before: list[Page], behind: list[Page]) -> set[int]:
     return {k for k, n in enumerate(times) if 2 * n > compared}
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        packed = [Page("", "", *lines(x.as_py() or "")).pack() for x in b.column("html")]
-        kept = [c for c in b.schema.names if c != "html"]
-        yield pa.record_batch([*(b.column(c) for c in kept), pa.array(packed, pa.binary())], names=[*kept, "packed"])
+Key = tuple[bytes, bytes, int, int]
 
 
-def _judged(chunk: int) -> Callable:
-    """Texts of the pages of sorted chunks; pages that a chunk only borrows give no row."""
-    names = ["page_id", "url", "n", "host", "path", "chunk", "place", "packed"]
+class Ranges:
+    """The ranges of the pages' order, from the first and last keys of each."""
+
+    def __init__(self, ends: list[list[Key]]):
+        """``ends`` has the sorted end keys of each range that is not empty, in order."""
+        self.bounds = [keys[0] for keys in ends]
+        self.lent: dict[Key, list[int]] = {}
+        for k in range(len(ends)):
+            for step, side in ((-1, slice(-NEAR, None)), (1, slice(None, NEAR))):
+                near: list[Key] = []
+                j = k + step
+                while 0 <= j < len(ends) and len(near) < NEAR:
+                    near = ends[j] + near if step < 0 else near + ends[j]
+                    j += step
+                for key in near[side]:
+                    self.lent.setdefault(key, []).append(k)
+
+    def of(self, key: Key) -> tuple[int, list[int]]:
+        """The range that ``key`` is in, and those that borrow it."""
+        return bisect_right(self.bounds, key) - 1, self.lent.get(key, [])
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and last ``NEAR`` keys of a sorted partition."""
+    first: list[tuple] = []
+    last: list[tuple] = []
+    for b in batches:
+        rows = list(zip(*(c.to_pylist() for c in (b.slice(0, NEAR)).columns)))
+        first += rows[: NEAR - len(first)]
+        last = [*last, *zip(*(c.to_pylist() for c in b.slice(max(0, b.num_rows - NEAR)).columns))][-NEAR:]
+    rows = sorted({*first, *last}, key=lambda r: (r[0].encode(), r[1].encode(), r[2], r[3]))
+    columns = list(zip(*rows)) if rows else [(), (), (), ()]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+    part = TaskContext.get().partitionId()
+    yield pa.record_batch([pa.array([part] * len(rows), pa.int32()), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=["part", "host", "path", "k1", "k2"])
+
+
+def ranges(keys: DataFrame, parts: int) -> Ranges:
+    """``keys`` (host, path, k1, k2), distinct, cut in ``parts`` ranges; collects their ends."""
+    order = ["host", "path", "k1", "k2"]
+    dealt = keys.select(order).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ends: dict[int, list[Key]] = {}
+    for r in dealt.mapInArrow(_ends, "part int, host string, path string, k1 long, k2 long").collect():
+        ends.setdefault(r.part, []).append((r.host.encode(), r.path.encode(), r.k1, r.k2))
+    return Ranges([sorted(ends[k]) for k in sorted(ends)])
 
-    def solve(rows: list[tuple], ids: pa.Array) -> pa.RecordBatch:
-        pages = [Page.unpack(r[2], r[3], r[6]) for r in rows]
-        take, texts = [], []
-        for k, r in enumerate(rows):
-            if r[5] // chunk != r[4]:
-                continue
-            page = pages[k]
-            gone = template(page, pages[max(0, k - NEAR) : k][::-1], pages[k + 1 : k + 1 + NEAR])
-            text = " ".join(x for i, x in enumerate(page.own) if i not in gone)
-            take.append(k)
-            texts.append(text)
-        own = [rows[k] for k in take]
-        columns = [ids.take(pa.array(take, pa.int64())), pa.array([r[0] for r in own], pa.string()), pa.array([r[1] for r in own], pa.int64()), pa.array(texts, pa.string())]
-        return pa.record_batch(columns, names=["page_id", "url", "n", "text"])
+
+def _cut(cuts) -> Callable:
+    """Rows with their packed lines, for their own range and those that borrow them; rows that are equal within a batch once."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        held_ids: list[pa.Array] = []
+        found = cuts.value
         for b in batches:
-            columns = [b.column(c).to_pylist() for c in names[1:]]
-            rows = list(zip(*columns))
-            start = 0
-            for k, r in enumerate(rows):
-                if held and held[-1][4] != r[4]:
-                    held_ids.append(b.column("page_id").slice(start, k - start))
-                    yield solve(held, pa.concat_arrays(held_ids))
-                    held, held_ids, start = [], [], k
-                held.append(r)
-            held_ids.append(b.column("page_id").slice(start))
-        if held:
-            yield solve(held, pa.concat_arrays(held_ids))
+            take, packed, part, own = [], [], [], []
+            times: Counter = Counter()
+            first: dict[tuple[int, int], int] = {}
+            keys = list(zip(*(b.column(c).to_pylist() for c in ("host", "path", "k1", "k2"))))
+            for k, key in enumerate(keys):
+                times[key[2:]] += 1
+                first.setdefault(key[2:], k)
+            page = b.column("html")
+            for k in first.values():
+                host, path, k1, k2 = keys[k]
+                mine, lent = found.of((host.encode(), path.encode(), k1, k2))
+                lines_of = Page("", "", *lines(page[k].as_py() or "")).pack()
+                for r in (mine, *lent):
+                    take.append(k)
+                    packed.append(lines_of)
+                    part.append(r)
+                    own.append(times[k1, k2] if r == mine else 0)
+            kept = b.drop_columns(["html"]).take(pa.array(take, pa.int64()))
+            yield pa.record_batch([*kept.columns, pa.array(packed, pa.binary()), pa.array(part, pa.int32()), pa.array(own, pa.int64())], names=[*kept.schema.names, "packed", "part", "n"])
 
     return of
 
 
-def numbered(keys: DataFrame) -> DataFrame:
-    """``keys`` (host, path, k1, k2) with place, from 0 in the order of these columns.
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of a range's pages in their order; borrowed ones (n is 0) give no row."""
+    held: deque[list] = deque()  # page, n, id, URL, key
+    at = 0  # the place in ``held`` of the next page to judge
+    kind = None
+
+    def judge(last: bool) -> Iterator[list]:
+        nonlocal at
+        while at < len(held) and (last or at + NEAR < len(held)):
+            page, n, *_ = held[at]
+            if n:
+                near = [h[0] for h in held]
+                gone = template(page, near[max(0, at - NEAR) : at][::-1], near[at + 1 : at + 1 + NEAR])
+                yield [*held[at][1:4], " ".join(x for k, x in enumerate(page.own) if k not in gone)]
+            if at == NEAR:
+                held.popleft()
+            else:
+                at += 1
+
+    def batch(rows: list[list]) -> pa.RecordBatch:
+        n, ids, urls, texts = zip(*rows)
+        return pa.record_batch([pa.array(ids, kind), pa.array(urls, pa.string()), pa.array(n, pa.int64()), pa.array(texts, pa.string())], names=["page_id", "url", "n", "text"])
 
-    Counted within sort ranges and moved by the ranges' sizes (one row for each
-    partition), so that no task sees all keys.
-    """
-    spark = keys.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["host", "path", "k1", "k2"]
-    dealt = keys.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
-    dealt = shared.table(dealt, "paths")
-    sizes = dealt.groupBy("part").agg(F.count("*").alias("size"))
-    sizes = sizes.select("part", F.coalesce(F.sum("size").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    inside = F.row_number().over(W.partitionBy("part").orderBy(*order)) - 1
-    return dealt.withColumn("place", inside).join(F.broadcast(sizes), "part").withColumn("place", F.col("place") + F.col("before")).select(*order, "place")
+    for b in batches:
+        kind, rows = b.column("page_id").type, []
+        for i, u, host, path, k1, k2, packed, n in zip(*(b.column(c).to_pylist() for c in ("page_id", "url", "host", "path", "k1", "k2", "packed", "n"))):
+            if held and held[-1][4] == (host, path, k1, k2):
+                held[-1][1] += n  # equal rows of another task
+                continue
+            rows += judge(False)
+            held.append([Page.unpack(host, path, packed), n, i, u, (host, path, k1, k2)])
+        if rows:
+            yield batch(rows)
+    if rows := list(judge(True)):
+        yield batch(rows)
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", chunk: int = CHUNK) -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars): one row for each row of ``pages``.
 
     Null or empty html gives an empty text. A null URL has an empty host and
@@ -343,21 +401,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     are cut and aligned whole, however long. An empty table gives no rows; other
     columns are unused.
     """
+    spark = pages.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    source = source.withColumns({"k1": F.xxhash64("page_id", "url", "html"), "k2": F.xxhash64(F.lit("page"), "html", "url", "page_id")})
     host, path = host_path(F.col("url"))
-    keys = shared.table(source.select(host.alias("host"), path.alias("path"), "k1", "k2").distinct(), "keys")
+    source = source.withColumns({"host": host, "path": path, "k1": F.xxhash64("page_id", "url", "html"), "k2": F.xxhash64(F.lit("page"), "html", "url", "page_id")})
+    keys = shared.table(source.select("host", "path", "k1", "k2").distinct(), "keys")
+    cuts = spark.sparkContext.broadcast(ranges(keys, parts))
     kind = source.schema["page_id"].dataType.simpleString()
-    cut = source.mapInArrow(_cut, f"page_id {kind}, url string, k1 long, k2 long, packed binary")
-    cut = cut.groupBy("k1", "k2").agg(F.first(F.struct("page_id", "url", "packed")).alias("row"), F.count("*").alias("n"))
-    placed = cut.join(numbered(keys), ["k1", "k2"]).withColumn("at", F.col("place") % chunk)
-    own = F.floor(F.col("place") / chunk)
-    # A page at the end of its chunk is lent to the next one.
-    chunks = F.array(own, F.when(F.col("at") < NEAR, own - 1), F.when(F.col("at") >= chunk - NEAR, own + 1))
-    lent = placed.select("row.page_id", "row.url", "n", "host", "path", F.explode(F.array_compact(chunks)).alias("chunk"), F.col("place").cast("long").alias("place"), "row.packed")
-    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lent.repartition(parts, "chunk").sortWithinPartitions("chunk", "place")
-    judged = dealt.mapInArrow(_judged(chunk), f"page_id {kind}, url string, n long, text string")
+    cut = source.mapInArrow(_cut(cuts), f"page_id {kind}, url string, host string, path string, k1 long, k2 long, packed binary, part int, n long")
+    dealt = cut.repartitionById(parts, "part").sortWithinPartitions("host", "path", "k1", "k2")
+    judged = dealt.mapInArrow(_judged, f"page_id {kind}, url string, n long, text string")
     # Repeated rows come out again, a thousand at a time.
     judged = judged.withColumn("left", F.explode(F.sequence(F.col("n"), F.lit(1), F.lit(-1000)))).withColumn("left", F.explode(F.sequence(F.lit(1), F.least(F.col("left"), F.lit(1000)))))
     return judged.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
