@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import zlib
 
@@ -44,22 +45,68 @@ def test_quality_counts_and_odd_rows(spark):
     assert quality.judge(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def fences_of(rows):
+    """Fences by hand, from sorted values: (lang, source) -> measure -> (lo, hi)."""
+    values, wide = collections.defaultdict(list), collections.defaultdict(list)
+    for _, text, lang, source in rows:
+        n, chars, symbols, dups, _ = counts(text)
+        lines = sum(1 for x in (text or "").split("\n") if x.encode().split())
+        values[lang, source] += [(symbols / n, dups / lines, chars / n)] if n >= 20 else []
+        wide[lang] += [(symbols / n, dups / lines, chars / n)] if n >= 20 else []
+    out = {}
+    for group, own in values.items():
+        chosen = own if len(own) >= quality.LEAST else wide[group[0]]
+        for k, m in enumerate(quality.TAIL):
+            v = sorted(x[k] for x in chosen)
+            if v:
+                q1, q2, q3, q4, q5 = (v[max(1, math.ceil(round(p * len(v), 7))) - 1] for p in quality.QUANTILES)
+                tail = quality.TAIL[m]
+                out[group, m] = (q2 + 2 * (q2 - q3) + tail * (q1 - q2), q4 + 2 * (q4 - q3) + tail * (q5 - q4))
+    return out
+
+
+def varied(rng, n, symbols, repeated, width):
+    """Texts of a source: its own symbols a word, repeated lines and word lengths, with some spread."""
+    for _ in range(n):
+        ws = ["".join(rng.choices("abcdefg", k=max(1, round(rng.gauss(width, 1))))) + "*" * (rng.random() < symbols) for _ in range(rng.randrange(60, 90))]
+        lines = [" ".join(ws[k : k + 6]) for k in range(0, len(ws), 6)]
+        yield "\n".join(x for k, x in enumerate(lines) for _ in range(1 + (rng.random() < repeated)))
+
+
 def test_quality_fences_follow_the_group(spark):
+    """Two sources that differ in a measure get different fences for it, and are judged by their own."""
     rng = random.Random(5)
-    plain = lambda extra: " ".join("".join(rng.choices("abcdefg", k=rng.randrange(2, 8))) + extra for _ in range(60))
-    rows = [(k, plain(""), "en", "prose") for k in range(40)] + [(50, plain("***"), "en", "prose")]
-    rows += [(100 + k, plain("**"), "en", "markup") for k in range(40)]
-    kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert not kept[50] and all(kept[k] for k in range(40)) and all(kept[100 + k] for k in range(40))
+    rows = []
+    for source, *style in (("prose", 0.02, 0.02, 5), ("markup", 0.6, 0.02, 5), ("lyrics", 0.02, 0.12, 5), ("german", 0.02, 0.02, 9)):
+        rows += [(len(rows) + k, t, "en", source) for k, t in enumerate(varied(rng, 150, *style))]
+    rows += [(9000 + k, next(varied(rng, 1, 0.02, 0.02, 12)), "en", "small") for k in range(3)] + [(9100, "short", "xx", "none"), (9101, None, None, None)]
+    odd = {source: next(varied(rng, 1, 0.6, 0.0, 5)) for source in ("prose", "markup")}
+    rows += [(9200, odd["prose"], "en", "prose"), (9201, odd["markup"], "en", "markup")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.lang, r.source): r for r in quality.thresholds(quality.counted(df)).collect()}
+    want = fences_of(rows)
+    for (group, m), (lo, hi) in want.items():
+        assert abs(got[group][f"{m}_hi"] - hi) < 1e-9, (group, m)
+        assert m != "word_length" or abs(got[group].word_length_lo - lo) < 1e-9
+    assert got["xx", "none"].symbols_hi is None and got[None, None].word_length_lo is None
+    hi = lambda source, m: got["en", source][f"{m}_hi"]
+    assert hi("markup", "symbols") > hi("prose", "symbols") + 0.2 and hi("lyrics", "dup_lines") > hi("prose", "dup_lines") and hi("german", "word_length") > hi("prose", "word_length") + 2
+    kept = {r.doc_id: r.kept for r in quality.judge(df).collect()}
+    assert not kept[9200] and kept[9201] and sum(kept[k] for k in range(600)) >= 590 and not kept[9100]
 
 
 def test_quality_plan_is_native_and_columns_pass(spark):
-    rows = [(k, "some good words here " * 2 + " ".join(f"w{k}{j}" for j in range(30)), "en", "s", 7) for k in range(5)]
-    df = spark.createDataFrame(rows, SCHEMA + ", n_words int")
+    rows = [(k, "some good words here " * 2 + " ".join(f"w{k}{j}" for j in range(30)), "en", "s", 7, 8, "x") for k in range(5)]
+    df = spark.createDataFrame(rows, SCHEMA + ", n_words int, __mine int, __f_lang string")
     kept = quality.keep_good(df)
     assert kept.columns == df.columns and kept.count() == 5 and kept.first().n_words == 7
-    plan = quality.judge(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    judged = quality.judge(df)
+    assert judged.first().n_words == 38 and judged.first()["__mine"] == 8 and judged.first()["__f_lang"] == "x" and judged.columns.count("n_words") == 1
+    assert "text" not in quality.judge(df, keep_text=False).columns
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for part in (quality._repeats(quality._counts(docs, quality.F.col("text"))), quality.thresholds(quality.counted(docs)), quality.judge(docs)):
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
 # BPE

@@ -2,10 +2,20 @@
 
 Three measures of a text (symbols a word, share of repeated lines, mean word
 length) are summarised for every language and source by mergeable quantile
-sketches (``approx_percentile``: partial sketches for each partition, merged in
-the shuffle). A group's fences lie ``SPREAD`` quartile ranges and a slack beyond
-its quartiles; a group of fewer than ``LEAST`` usable texts takes its
-language's. The fences are joined back and decide which rows stay.
+sketches (KLL: a sketch for each partition, merged in the shuffle; the sketches of
+a language's sources are merged again for the language). A group's fences follow
+from its own quantiles alone. The upper one is
+
+    q90 + SPREAD * (q90 - q50) + TAIL * (q99 - q90)
+
+and the lower one its mirror image: as far beyond the typical texts as these are
+spread, and a part of the way into the group's tail, because for measures that are
+zero in most texts (symbols, repeated lines) only the tail has a scale. In a
+group without a tail, no more than its last hundredth is beyond the fence. A group
+of fewer than ``LEAST`` usable texts takes its language's fences. The fences are
+joined back and decide which rows stay.
+
+Every text is read once: its counts are written, sketches and judgement read them.
 """
 
 from __future__ import annotations
@@ -15,12 +25,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 from . import shared
 
 WINDOW, MIN_WORDS, REPEAT_PERCENT = 8, 20, 30
-SPREAD, LEAST, ACCURACY = 4.0, 30, 10_000
-#: Slack beyond the fences of symbols a word, repeated lines a line, code points a word.
-SLACK = {"symbols": 0.1, "dup_lines": 0.5, "word_length": 1.0}
+SPREAD, LEAST = 2.0, 100
+#: How far into the tail a fence lies, for symbols a word, repeated lines a line, code points a word.
+TAIL = {"symbols": 0.1, "dup_lines": 0.75, "word_length": 0.25}
+#: Values that a sketch keeps before it thins them out: groups up to this size are exact, ranks of larger ones off by about 0.001.
+SKETCH = 4096
+QUANTILES = (0.01, 0.1, 0.5, 0.9, 0.99)
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
-_OWN = ["__words", "__lines", "__h", "__s", "__at", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 def _counts(df: DataFrame, text: Column) -> DataFrame:
@@ -73,67 +86,66 @@ def _repeats(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.when(F.col("__at").isNull(), F.lit(0)).otherwise(covered).cast("long"))
 
 
-def _measures() -> dict[str, Column]:
+def counted(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep_text: bool = True) -> DataFrame:
+    """A written table of (row, lang, source, counts, n_lines); ``row`` has the columns of ``docs``, without the text if not ``keep_text``."""
+    row = F.struct(*(c for c in docs.columns if keep_text or c != text)) if keep_text or len(docs.columns) > 1 else F.struct(F.lit(None).cast("int").alias("none"))
+    named = docs.select(row.alias("row"), F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"), F.col(text).alias("__t"))
+    df = _repeats(_counts(named, F.col("__t"))).withColumn("n_lines", F.size("__lines").cast("long"))
+    return shared.table(df.select("row", "lang", "source", *COUNTS, "n_lines"), "counts")
+
+
+def measures() -> dict[str, Column]:
+    """The measures of counted rows; null where there are no words or lines."""
     n = F.nullif("n_words", F.lit(0))
-    return {
-        "__symbols": F.try_divide("n_symbols", n),
-        "__dup_lines": F.try_divide("n_dup_lines", F.nullif(F.size("__lines"), F.lit(0))),
-        "__word_length": F.try_divide("word_chars", n),
-    }
+    return {"symbols": F.try_divide("n_symbols", n), "dup_lines": F.try_divide("n_dup_lines", F.nullif("n_lines", F.lit(0))), "word_length": F.try_divide("word_chars", n)}
 
 
-def thresholds(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, symbols_hi, dup_lines_hi, word_length_lo, word_length_hi) for every group."""
-    df = docs.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("__t"))
-    df = _counts(df, F.col("__t")).withColumns(_measures())
+def thresholds(counts: DataFrame) -> DataFrame:
+    """(lang, source, symbols_hi, dup_lines_hi, word_length_lo, word_length_hi) for every group of a counted table."""
     usable = F.col("n_words") >= MIN_WORDS
-    names = ["symbols", "dup_lines", "word_length"]
-
-    def sketches(*by: str) -> DataFrame:
-        return df.groupBy(*by).agg(
-            F.count_if(usable).alias("n"),
-            *(F.percentile_approx(F.when(usable, F.col(f"__{m}")), [0.25, 0.75], ACCURACY).alias(m) for m in names),
-        )
+    df = counts.select("lang", "source", usable.alias("usable"), *(F.when(usable, m).alias(k) for k, m in measures().items()))
+    own = df.groupBy("lang", "source").agg(F.count_if("usable").alias("n"), *(F.expr(f"kll_sketch_agg_double({m}, {SKETCH})").alias(m) for m in TAIL))
+    own = shared.table(own, "sketches").alias("o")
+    wide = own.groupBy("lang").agg(F.sum("n").alias("n"), *(F.expr(f"kll_merge_agg_double({m}, {SKETCH})").alias(m) for m in TAIL)).alias("w")
+    joined = own.join(wide, F.col("o.lang").eqNullSafe(F.col("w.lang")))
+    chosen = [F.when(F.col("o.n") >= LEAST, F.col(f"o.{m}")).otherwise(F.col(f"w.{m}")).alias(m) for m in TAIL]
+    # Without usable texts there is nothing to ask a sketch for.
+    joined = joined.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), (F.col("w.n") > 0).alias("some"), *chosen)
+    at = ", ".join(map(str, QUANTILES))
+    asked = [F.when(F.col("some"), F.expr(f"kll_sketch_get_quantile_double({m}, array({at}))")).alias(m) for m in TAIL]
+    joined = joined.select("lang", "source", *asked)
 
-    def fences(q: dict[str, Column]) -> list[Column]:
-        lo = lambda m: q[m][0] - SPREAD * (q[m][1] - q[m][0]) - SLACK[m]
-        hi = lambda m: q[m][1] + SPREAD * (q[m][1] - q[m][0]) + SLACK[m]
-        return [hi("symbols").alias("symbols_hi"), hi("dup_lines").alias("dup_lines_hi"), lo("word_length").alias("word_length_lo"), hi("word_length").alias("word_length_hi")]
+    def fence(m: str, tail: int, end: int) -> Column:
+        q = F.col(m)
+        return q[end] + SPREAD * (q[end] - q[2]) + TAIL[m] * (q[tail] - q[end])
 
-    own, wide = sketches("lang", "source").alias("o"), sketches("lang").alias("w")
-    joined = own.join(wide, F.col("o.lang").eqNullSafe(F.col("w.lang")))
-    chosen = {m: F.when(F.col("o.n") >= LEAST, F.col(f"o.{m}")).otherwise(F.col(f"w.{m}")) for m in names}
-    return joined.select(F.col("o.lang").alias("lang"), F.col("o.source").alias("source"), *fences(chosen))
+    hi = [fence(m, 4, 3).alias(f"{m}_hi") for m in TAIL]
+    return joined.select("lang", "source", *hi, fence("word_length", 0, 1).alias("word_length_lo"))
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """All columns of ``docs`` with the counts, ``base_failed`` and ``kept``.
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep_text: bool = True) -> DataFrame:
+    """All columns of ``docs`` (the text only if ``keep_text``) with the counts, ``base_failed`` and ``kept``.
 
     Null text counts as empty. Null language or source is a group of its own.
     A measure or fence that is undefined (no words, no usable text in the
-    language) rejects nothing. Repeated rows are judged alike. Columns of
-    ``docs`` named like the counts give way to them.
+    language) rejects nothing; a value on a fence (ties) stays. Texts are judged
+    whole, however long; repeated rows are judged alike and come out as often as
+    they went in. An empty table gives no rows. Columns of ``docs`` named like the
+    counts give way to them, any others pass.
     """
-    limits = shared.table(thresholds(docs, text, lang, source), "fences")
-    limits = limits.select(*(F.col(c).alias(f"__f_{c}") for c in limits.columns))
-    df = docs.drop(*(c for c in [*_OWN, "base_failed", "kept"] if c not in (text, lang, source)))
-    df = df.join(limits, F.col(lang).eqNullSafe(F.col("__f_lang")) & F.col(source).eqNullSafe(F.col("__f_source")), "left")
-    df = _repeats(_counts(df, F.col(text))).withColumns(_measures())
+    counts = counted(docs, text, lang, source, keep_text)
+    limits = shared.table(thresholds(counts), "fences").withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
+    df = counts.withColumns(measures()).join(limits, F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source")), "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    inside = (
-        (F.col("__symbols") <= F.col("__f_symbols_hi"))
-        & (F.col("__dup_lines") <= F.col("__f_dup_lines_hi"))
-        & F.col("__word_length").between(F.col("__f_word_length_lo"), F.col("__f_word_length_hi"))
-    )
-    # The row number is always true here; without it the optimizer would copy the
-    # whole computation into a filter on ``kept``, once for each use of a column.
-    always = F.monotonically_increasing_id() >= 0
-    df = df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)) & always)
-    return df.drop(*(c for c in df.columns if c.startswith("__")))
+    inside = F.col("word_length") >= F.col("word_length_lo")
+    for m in TAIL:
+        inside &= F.col(m) <= F.col(f"{m}_hi")
+    new = [*COUNTS, "base_failed", "kept"]
+    row = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in new and (keep_text or c != text)]
+    return df.select(*row, *COUNTS, failed.alias("base_failed"), (~failed & F.coalesce(inside, F.lit(True))).alias("kept"))
 
 
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns."""
-    named = docs.select(F.struct("*").alias("__row"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
-    judged = judge(named.withColumnRenamed("__row", "row"))
-    return judged.where("kept").select("row.*")
+    named = docs.select(F.struct("*").alias("own"), F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"))
+    return judge(named, keep_text=False).where("kept").select("own.*")

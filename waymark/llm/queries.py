@@ -20,7 +20,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    judged = quality.judge(_table(spark, sf_dir, "documents"), keep_text=False)
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -101,22 +101,25 @@ WITH d AS (
 ), u AS (
   SELECT lang, source, unnest(['a', 'b', 'e']) AS k, unnest([a, b, e]) AS v FROM m WHERE n_words >= 20
 ), own AS (
-  SELECT lang, source, k, count(*) AS n, max(v) FILTER (r = greatest(ceil(0.25 * c), 1)) AS lo, max(v) FILTER (r = ceil(0.75 * c)) AS hi
+  SELECT lang, source, k, any_value(c) AS n, max(v) FILTER (r = greatest(ceil(round(0.01 * c, 7)), 1)) AS q1, max(v) FILTER (r = greatest(ceil(round(0.1 * c, 7)), 1)) AS q2,
+         max(v) FILTER (r = greatest(ceil(round(0.5 * c, 7)), 1)) AS q3, max(v) FILTER (r = ceil(round(0.9 * c, 7))) AS q4, max(v) FILTER (r = ceil(round(0.99 * c, 7))) AS q5
   FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, k ORDER BY v) AS r, count(*) OVER (PARTITION BY lang, source, k) AS c FROM u)
-  GROUP BY ALL
+  GROUP BY lang, source, k
 ), wide AS (
-  SELECT lang, k, max(v) FILTER (r = greatest(ceil(0.25 * c), 1)) AS lo, max(v) FILTER (r = ceil(0.75 * c)) AS hi
+  SELECT lang, k, max(v) FILTER (r = greatest(ceil(round(0.01 * c, 7)), 1)) AS q1, max(v) FILTER (r = greatest(ceil(round(0.1 * c, 7)), 1)) AS q2,
+         max(v) FILTER (r = greatest(ceil(round(0.5 * c, 7)), 1)) AS q3, max(v) FILTER (r = ceil(round(0.9 * c, 7))) AS q4, max(v) FILTER (r = ceil(round(0.99 * c, 7))) AS q5
   FROM (SELECT *, row_number() OVER (PARTITION BY lang, k ORDER BY v) AS r, count(*) OVER (PARTITION BY lang, k) AS c FROM u)
-  GROUP BY ALL
+  GROUP BY lang, k
 ), g AS (
-  SELECT g.lang, g.source, wide.k, CASE WHEN own.n >= 30 THEN own.lo ELSE wide.lo END AS lo, CASE WHEN own.n >= 30 THEN own.hi ELSE wide.hi END AS hi
+  SELECT g.lang, g.source, wide.k, CASE WHEN own.n >= 100 THEN own.q1 ELSE wide.q1 END AS q1, CASE WHEN own.n >= 100 THEN own.q2 ELSE wide.q2 END AS q2,
+         CASE WHEN own.n >= 100 THEN own.q3 ELSE wide.q3 END AS q3, CASE WHEN own.n >= 100 THEN own.q4 ELSE wide.q4 END AS q4, CASE WHEN own.n >= 100 THEN own.q5 ELSE wide.q5 END AS q5
   FROM (SELECT DISTINCT lang, source FROM m) AS g JOIN wide ON wide.lang IS NOT DISTINCT FROM g.lang
   LEFT JOIN own ON own.lang IS NOT DISTINCT FROM g.lang AND own.source IS NOT DISTINCT FROM g.source AND own.k = wide.k
 ), f AS (
   SELECT lang, source,
-         max(hi + 4::DOUBLE * (hi - lo) + 0.1::DOUBLE) FILTER (k = 'a') AS a_hi, max(hi + 4::DOUBLE * (hi - lo) + 0.5::DOUBLE) FILTER (k = 'b') AS b_hi,
-         max(lo - 4::DOUBLE * (hi - lo) - 1::DOUBLE) FILTER (k = 'e') AS e_lo, max(hi + 4::DOUBLE * (hi - lo) + 1::DOUBLE) FILTER (k = 'e') AS e_hi
-  FROM g GROUP BY ALL
+         max(q4 + 2::DOUBLE * (q4 - q3) + 0.1::DOUBLE * (q5 - q4)) FILTER (k = 'a') AS a_hi, max(q4 + 2::DOUBLE * (q4 - q3) + 0.75::DOUBLE * (q5 - q4)) FILTER (k = 'b') AS b_hi,
+         max(q2 + 2::DOUBLE * (q2 - q3) + 0.25::DOUBLE * (q1 - q2)) FILTER (k = 'e') AS e_lo, max(q4 + 2::DOUBLE * (q4 - q3) + 0.25::DOUBLE * (q5 - q4)) FILTER (k = 'e') AS e_hi
+  FROM g GROUP BY lang, source
 ), j AS (
   SELECT m.*, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
          a <= a_hi AND b <= b_hi AND e BETWEEN e_lo AND e_hi AS inside
