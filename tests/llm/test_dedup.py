@@ -53,7 +53,7 @@ def removed(rows, window=50):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("bits", [26, 16])
+@pytest.mark.parametrize("bits", [None, 26, 16])
 def test_substring_equals_brute_force(spark, bits):
     rows = corpus()
     docs = spark.createDataFrame(rows, SCHEMA)
@@ -68,6 +68,21 @@ def test_substring_in_random_texts_of_few_words(spark):
     assert sorted(map(tuple, got), key=str) == removed(rows)
 
 
+def test_sketch_follows_the_texts(spark):
+    size = lambda n: substring.sketch_bits(spark.createDataFrame([(k, "x" * 10_000) for k in range(n)], "k int, text string"))
+    assert size(1) == size(0) == 16 and size(400) == 19 and size(800) == 20
+    assert substring.sketch_bits(spark.range(1).selectExpr("null as text")) == 16
+
+
+def test_substring_very_long_texts(spark):
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(80)]
+    long = [f"w{rng.randrange(10**6)}" for _ in range(120_000)]
+    rows = [(1, " ".join([*long[:60_000], *passage, *long[60_000:]]), "en", "s"), (2, " ".join(["start", *passage, "end"]), "en", "s"), (3, " ".join(long[1000:1100]), "en", "s")]
+    got = substring.kept_digest(substring.remove_repeats(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert sorted(map(tuple, got)) == removed(rows)
+
+
 def test_substring_empty_table_and_clashing_columns(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert substring.remove_repeats(empty).count() == 0

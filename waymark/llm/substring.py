@@ -15,8 +15,10 @@ Grouping is by minimum with partial sums before the shuffle, and the joins back
 are plain sort-merge joins that adaptive execution splits, so an anchor of a
 third of all rows does not meet in one task.
 
-The sketch has a fixed size (``BITS``), which bounds what is broadcast; when it
-fills, more spans pass and the result stays the same.
+The sketch's size follows from the texts' bytes: some ``CELLS`` cells for each span
+to be expected, at most 2**``MOST_BITS`` in each of two rows, which bounds what is
+broadcast (64 MB). Beyond that it fills, more spans pass and the result stays the
+same. Hashes stand for words throughout: what is removed agrees in 96 bits or more.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ from . import shared
 from .wordhash import Rolling, U, buffers, mix, pieces, word_hashes, words
 
 WINDOW, GRAM = 50, 25
-BITS, BLOCK = 26, 16
+MOST_BITS, BLOCK, CELLS = 28, 16, 8
+#: Bytes of text for each span, about: a word has some six, and anchors change every 13 words.
+SPAN_BYTES = 80
 _ROWS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
@@ -118,7 +122,7 @@ def _bitmaps(sparse: DataFrame, rows: int, least: int, bits: int) -> list[np.nda
     maps = [np.zeros(max(1 << bits, 1 << BLOCK) // 8, np.uint8) for _ in range(rows)]
     size = (1 << BLOCK) // 8
     merged = sparse.groupBy("part").applyInPandas(_merge(least), "part long, cells binary")
-    for part, cells in merged.toLocalIterator():
+    for part, cells in merged.collect():  # rows * 2**bits / 8 bytes
         at = (part & 0xFFFFFFFF) * size
         maps[part >> 32][at : at + size] = np.frombuffer(cells, np.uint8)
     return maps
@@ -181,12 +185,19 @@ def _spans(maps, window: int, gram: int, bits: int) -> Callable:
     return of
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int = BITS) -> DataFrame:
+def sketch_bits(texts: DataFrame) -> int:
+    """The sketch's size for ``texts`` (text)."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(BLOCK, min(MOST_BITS, (size * CELLS // SPAN_BYTES).bit_length()))
+
+
+def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, bits: int | None = None) -> DataFrame:
     """(doc_id, tkey, a, b): words a to b-1 of a text that windows of an earlier document cover.
 
     ``docs`` has doc_id, tkey (a hash of the text) and text.
     """
     spark = docs.sparkSession
+    bits = bits or sketch_bits(docs)
     maps = spark.sparkContext.broadcast(repeated_cells(docs.select("text"), window, gram, bits))
     found = docs.where("doc_id is not null").select("doc_id", "tkey", "text")
     found = found.mapInArrow(
@@ -268,13 +279,14 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, bits: int = BITS) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, bits: int | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): one row for each row of ``docs``.
 
     ``kept`` holds the words that stay, joined by one space. Null text counts as
-    empty. A row without an id neither removes nor loses words. Rows with equal
-    id never remove each other's words; an entirely repeated row comes out as
-    often as it went in. An empty table gives no rows. Other columns are unused.
+    empty. Texts are taken whole, however long. A row without an id neither
+    removes nor loses words. Rows with equal id (ties) never remove each other's
+    words; an entirely repeated row comes out as often as it went in. An empty
+    table gives no rows. Other columns are unused.
     """
     source = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tkey"), F.col(text_col).alias("text")
@@ -282,7 +294,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = repeats(source, window, gram, bits)
     ranges = ranges.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     packed = source.mapInArrow(_packed, "doc_id long, tkey int, packed binary")
-    joined = packed.join(ranges.hint("shuffle_hash"), ["doc_id", "tkey"], "left")
+    joined = packed.join(ranges, ["doc_id", "tkey"], "left")
     out = joined.select(F.col("doc_id").alias("row"), "packed", "ranges").mapInArrow(_kept, "row long, n_words long, n_removed long, kept string")
     return out.withColumnRenamed("row", "doc_id")
 
