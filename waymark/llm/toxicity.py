@@ -51,7 +51,7 @@ LEXICON = frozenset(
 )
 _PATTERNS = {
     "~shout": re.compile(r"!{2,}"),
-    "~capitals": re.compile(r"\b[A-Z]{4,}(?:\W+[A-Z]{3,}){2,}"),
+    "~capitals": re.compile(r"[A-Z]{4}(?:\W+[A-Z]{3,}){2,}"),
     "~you": re.compile(r"\b[Yy]ou(?:'re| are| all)\b"),
     "~masked": re.compile(r"\w[*@#]{2,}\w"),
     "~away": re.compile(r"\b(?:shut up|go to hell|get lost|drop dead|halt die|va te|ta gueule|vete a)\b", re.I),
@@ -59,6 +59,16 @@ _PATTERNS = {
     "-~quoted": re.compile(r"(?:https?://|\bdoi:|\bISBN\b|\bet al\b|\blicen[cs]ed?\b|©|\bcopyright\b)", re.I),
     "-~table": re.compile(r"[|;\t][^|;\t\n]{1,40}[|;\t][^|;\t\n]{1,40}[|;\t]"),
 }
+#: What a text must hold (one of these words, or of these characters) for a pattern to be tried.
+_GUARDS = {
+    "~shout": ("!!",),
+    "~you": frozenset(("you",)),
+    "~masked": ("**", "@@", "##", "*@", "*#", "@*", "@#", "#*", "#@"),
+    "~away": frozenset(("shut", "go", "get", "drop", "halt", "va", "ta", "vete")),
+    "-~polite": frozenset(("please", "thank", "thanks", "kindly", "sincerely", "bitte", "danke", "merci", "cordialement", "gracias", "por")),
+    "-~quoted": ("://", "doi", "DOI", "Doi", "ISBN", "isbn", "et al", "ET AL", "Et al", "icen", "ICEN", "©", "opyright", "OPYRIGHT"),
+    "-~table": ("|", ";", "\t"),
+}
 #: The voter for label 0 of texts with words, but without any vote for label 1.
 _NONE = "-:none"
 
@@ -84,18 +94,23 @@ class Voters:
         self.starts = {n: {v[:-1]: k for v, k in place.items() if v[-1] == "*" and len(v) == n + 1} for n in BEGINNINGS}
         self.words = {v.lstrip("-"): k for v, k in place.items() if v not in _PATTERNS and v != _NONE and v[-1] != "*"}
         self.keys = frozenset(self.words)
+        self.first = frozenset(v[: BEGINNINGS[0]] for starts in self.starts.values() for v in starts)
 
     def votes(self, text: str | None) -> list[int]:
         """The places of all voters that vote on a text; a text without words has no votes but of patterns."""
         text = text or ""
         words = set(_WORD.findall(text.lower()))
-        out, some = [self.words[w] for w in words & self.keys], bool(words)
-        words -= LEXICON
+        out = [self.words[w] for w in words & self.keys]
+        some_start = [w for w in words if w[: BEGINNINGS[0]] in self.first and w not in LEXICON] if self.first else ()
         for n, starts in self.starts.items():
-            if starts:
-                out += [starts[w] for w in {w[:n] for w in words if len(w) > n} & starts.keys()]
-        out += [k for k, pattern in self.patterns if pattern.search(text)]
-        if some and self.none is not None and not any(self.sign[k] > 0 for k in out):
+            if some_start and starts:
+                out += [starts[w] for w in {w[:n] for w in some_start if len(w) > n} & starts.keys()]
+        for k, pattern in self.patterns:
+            guard = _GUARDS.get(self.names[k])
+            if guard is None or (not words.isdisjoint(guard) if isinstance(guard, frozenset) else any(x in text for x in guard)):
+                if pattern.search(text):
+                    out.append(k)
+        if words and self.none is not None and not any(self.sign[k] > 0 for k in out):
             out.append(self.none)
         return sorted(out)
 
@@ -254,7 +269,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     clean = counts.where((F.col("lift") <= -LIFT) & ~F.col("voter").endswith("*"))
     clean = [r.voter for r in clean.orderBy(F.col("n") * F.col("lift"), "voter").limit(CLEAN).collect()]
     kept = F.array_intersect("found", F.lit([*toxic, *clean]) if toxic or clean else F.array().cast("array<string>"))
-    rows = found.select("toxic", kept.alias("found"), "votes", "some").orderBy(F.xxhash64("found", "votes")).collect()  # at most sum(SAMPLE) short rows
+    rows = found.select("toxic", kept.alias("found"), "votes", "some").collect()  # at most sum(SAMPLE) short rows
+    rows.sort()  # sums in one order, whatever the partitions
     label = np.array([r.toxic for r in rows])
     sets = [set(r.found) for r in rows]
     mined = _apart(toxic, sets)[:VOTERS]
