@@ -180,5 +180,24 @@ def test_simhash_empty_and_keep_one(spark):
     assert simhash.near_duplicates(empty).count() == 0
     rows = [(3, "a b c d e f", "en", "s"), (2, "A b c d  e f", "en", "s"), (5, "quite other words are here today", "en", "s"), (None, "a b c d e f", None, None)]
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA))
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 5, None]
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 5]
     assert kept.columns == ["doc_id", "text", "lang", "source"]
+    assert simhash.keep_one(empty).count() == 0
+
+
+def test_keep_one_keeps_exactly_one_row_of_each_group(spark):
+    """Repeated rows, one id on several texts, rows without an id, clashing columns."""
+    a, b, c, d = ("a b c d e f g", "quite other words are here today", "something else again to be read", "no id has this text at all")
+    rows = [(1, a), (1, b), (2, a), (2, a), (3, b), (3, b), (None, c), (None, c), (7, c), (None, d), (None, d), (9, None), (8, ""), (8, " ")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, fp int")
+    kept = simhash.keep_one(df)
+    assert kept.columns == ["doc_id", "text", "fp"]
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert got in (sorted([(1, a), (1, b), (7, c), (None, d), (8, x)], key=str) for x in ("", " "))
+
+
+def test_simhash_very_long_text(spark):
+    text = " ".join(f"w{k % 977} x{k % 31}" for k in range(100_000))
+    rows = [(1, text, "en", "s"), (2, text.upper(), "en", "s"), (3, "short", "en", "s")]
+    got = {r.doc_id: r for r in simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[2].component_id == 1 and got[1].fingerprint == f"{slow_fingerprint(text):016x}" and got[3].component_id == 3

@@ -295,7 +295,8 @@ def test_chat_odd_rows(spark):
 
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no driver tables")
 def test_pipeline_stages(spark):
-    from waymark.llm import decontaminate, pii, quality, shared, simhash
+    from waymark import tables as shared
+    from waymark.llm import decontaminate, pii, quality, simhash
 
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -312,11 +313,38 @@ def test_pipeline_stages(spark):
     assert private.columns == docs.columns
     text = {r.doc_id: r.text for r in clean.collect()}
     for r in private.collect():
-        assert (r.text == text[r.doc_id]) == (not pii.detect(text[r.doc_id]))
+        assert (r.text == text[r.doc_id]) == (not pii.detect(text[r.doc_id])) and r.n_chars == len(r.text)
     tokens = {tuple(r) for r in corpus_pipeline.tokens(spark, private, sf).collect()}
     assert {tuple(r) for r in corpus_pipeline.run(spark, sf).collect()} == tokens
 
 
+def test_pipeline_stages_take_odd_rows(spark, tmp_path):
+    """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns through every stage."""
+    prose = " ".join(f"word{k}" for k in range(40))
+    other = " ".join(f"other{k}" for k in range(40))
+    rows = [(1, prose, "en", "s", 1), (1, prose, "en", "s", 1), (2, prose + " tail", None, None, 2), (3, None, None, None, 3), (4, "", "en", "s", 4), (None, other, "en", "s", 5)]
+    rows += [(5, other.replace("other", "third") + " 10.0.0.1", "en", "s", 6), (6, " ".join(f"long{k}" for k in range(60_000)), "en", "s", 7), (7, "item of the benchmark " + other.replace("other", "fourth"), "en", "s", 8)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    wide = spark.createDataFrame([(*r, "own", 9, True, "k") for r in rows], schema + ", kinds string, n_entities int, kept boolean, __row string")
+    spark.createDataFrame([(1, "item of the benchmark"), (2, None), (3, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = wide
+    left = {"quality": [1, 1, 2, 5, 6, 7, None], "near_duplicates": [1, 2, 5, 6, 7, None], "decontamination": [1, 2, 5, 6, None], "pii": [1, 2, 5, 6, None]}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == wide.columns
+        got = docs.collect()
+        ids = sorted((r.doc_id for r in got), key=str)
+        assert ids == sorted(left[name], key=str) or (name != "quality" and ids == sorted(set(left[name]) - {2}, key=str)), name
+        assert all(r.kinds == "own" and r.n_entities == 9 and r["__row"] == "k" for r in got)
+    five = next(r for r in got if r.doc_id == 5)
+    assert "10.0.0.1" not in five.text and five.n_chars == len(five.text)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(got)
+    docs = wide.where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.count() == 0
+
+
 def test_every_operator_has_a_query():
     names = queries.queries()
     assert {n.split("_")[0] for n in names} == {*(f"op{k}" for k in range(1, 11)), "pipeline"}

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from . import shared
+from .. import tables as shared
 
 ROLES = ("system", "user", "assistant", "tool")
 BLOCK = 256

@@ -38,7 +38,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from . import shared
+from .. import tables as shared
 from .urls import host_path
 
 NEAR, ENOUGH, COPY = 4, 3, 0.8

@@ -1,11 +1,16 @@
 """Personal data and secrets, replaced by keyed surrogates.
 
-Detected: e-mail addresses, IPv4 addresses, phone numbers, payment card numbers,
-US social security numbers, IBANs, assigned secrets and keys, and names after a
-title. A surrogate is of the same type and keeps the format: every digit,
-letter, script and case stays one, a card that passes the Luhn check still
-does, an IBAN keeps a valid checksum, octets stay octets, the top-level domain
-stays, and a name after "Mrs" becomes a woman's name in the same script.
+Detected: e-mail addresses, IPv4 addresses, phone numbers, payment card numbers
+(those that pass the Luhn check), US social security numbers, IBANs, assigned
+secrets and keys, and names: after a title, after a salutation or closing, with a
+common given name in front, and further mentions of a full name that the text has
+so introduced. A surrogate is of the same type and keeps the format: every digit,
+letter, script and case stays one, a card still passes the Luhn check, an IBAN
+keeps a valid checksum, octets stay octets, the top-level domain stays, and a
+woman's name becomes a woman's name in the same script (by lists for Latin and
+Cyrillic letters; in other scripts a name's letters are permuted like any
+value's). Given and family names are replaced word by word, so that a family name
+keeps its surrogate behind any given name or title.
 
 Values of one format are permuted among themselves by a keyed Feistel network
 over the numbers that write that format, so one value always gets one surrogate
@@ -33,7 +38,7 @@ from math import isqrt, prod
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from . import shared
+from .. import tables as shared
 
 KEY = b"waymark surrogate key"
 FEISTEL = 8
@@ -59,8 +64,15 @@ _SYLLABLES = {
 }
 _ENDING = {("cyrillic", "m"): "ов", ("cyrillic", "f"): "ова", ("cyrillic", "n"): "ко"}
 
+#: Words that a name follows, other than titles: salutations, closings, introductions.
+_BEFORE = (
+    r"(?:Dear|Hello|Hi|Liebe|Lieber|Hallo|Cher|Chère|Bonjour|Estimado|Estimada|Querido|Querida|Дорогой|Дорогая|Уважаемый|Уважаемая)[ ]+"
+    r"|(?:[Mm]y name is|[Ss]igned by|[Ii]ch heiße|[Jj]e m'appelle|[Mm]e llamo|[Мм]еня зовут)[ ]+"
+    r"|(?:[Rr]egards|[Ss]incerely|[Yy]ours|Grüßen|Grüße|Cordialement|Atentamente|Saludos|уважением),?[ ]*\n[ ]*"
+)
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _NAME = r"[^\W\d_a-zа-яё][^\W\d_]*(?:[-'][^\W\d_]+)?"
+_FIRST = {name: gender for (_, gender), names in _GIVEN.items() for name in names}
 #: What a text must have for the slow pattern of secrets to be tried.
 _SECRET_WORDS = ("key", "token", "passw", "pwd", "secret")
 _LONG = re.compile(r"[A-Za-z0-9_-]{14}")
@@ -78,6 +90,9 @@ _KINDS = {
     "phone": re.compile(r"(?<![\w+])(?P<whole>\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"),
     "name": re.compile(rf"\b(?P<title>{'|'.join(sorted(_TITLES, key=len, reverse=True))})\b\.?[ ]+(?P<whole>{_NAME}(?:[ ]{_NAME}){{0,2}})"),
 }
+_GREETED = re.compile(rf"\b(?:{_BEFORE})(?P<whole>{_NAME}(?:[ ]{_NAME}){{1,2}})")
+_CALLED = re.compile(rf"\b(?P<whole>(?:{'|'.join(sorted(_FIRST, key=len, reverse=True))})(?:[ ]{_NAME}){{1,2}})")
+_MAY_GREET = ("Dear", "Hello", "Hi", "Lieb", "Hallo", "Ch", "Bonjour", "Estimad", "Querid", "Дорог", "Уважаем", "y name is", "igned by", "ch heiße", "e m'appelle", "e llamo", "еня зовут", "egards", "incerely", "ours", "Grüße", "Cordialement", "Atentamente", "Saludos", "уважением")
 
 
 def _luhn(digits: str) -> int:
@@ -92,6 +107,33 @@ def _mod97(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
+def _gender(name: str, otherwise: str = "n") -> str:
+    """By a common given name in front, else as the title says."""
+    return _FIRST.get(name.split(" ")[0], otherwise) if " " in name else otherwise
+
+
+def _names(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Names without a title: after a salutation or closing, with a common given name, or met before in the text."""
+    taken = {e[0] for e in found if e[2] == "name"}
+    out = []
+    patterns = [_GREETED] if any(w in text for w in _MAY_GREET) else []
+    if not _FIRST.keys().isdisjoint(re.findall(r"[^\W\d_]+(?= )", text)):
+        patterns.append(_CALLED)
+    for pattern in patterns:
+        for m in pattern.finditer(text):
+            start, end = m.span("whole")
+            if start not in taken and text[start].isupper() and not m["whole"].split(" ")[0] in _TITLES:
+                taken.add(start)
+                out.append((start, end, "name", _gender(m["whole"])))
+    known = {text[a:b]: d for a, b, k, d in [*found, *out] if k == "name" and " " in text[a:b] and text[a].isupper()}
+    for name in sorted(known, key=len, reverse=True):
+        for m in re.finditer(rf"(?<!\w){re.escape(name)}(?!\w)", text):
+            if m.start() not in taken:
+                taken.add(m.start())
+                out.append((*m.span(), "name", known[name]))
+    return out
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, detail) of all entities, none overlapping; earlier kinds win."""
     digit = re.search(r"\d", text) is not None
@@ -110,12 +152,15 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             value, detail = m[group], ""
             if kind == "iban" and (not 15 <= len(value.replace(" ", "")) <= 34 or _mod97(value.replace(" ", "")) != 1):
                 continue
+            if kind == "card" and _luhn(re.sub(r"\D", "", value)):
+                continue
             if kind == "name":
-                detail = _TITLES[m["title"]]
                 if m["title"] in ("Sr", "Don", "Sir", "Dr", "Miss", "Prof") and not value[0].isupper():
                     continue
+                detail = _gender(value, _TITLES[m["title"]])
             found.append((*m.span(group), kind, detail))
-    found.sort(key=lambda e: (list(_KINDS).index(e[2]), e[0]))
+    found += _names(text, found)
+    found.sort(key=lambda e: (list(_KINDS).index(e[2]), e[0], -e[1]))
     out: list[tuple[int, int, str, str]] = []
     taken: list[tuple[int, int]] = []
     for e in found:
@@ -137,7 +182,7 @@ class _Alphabets(dict):
             zero = ord(c) - unicodedata.decimal(c)
             found = "".join(map(chr, range(zero, zero + 10)))
         elif c.isalnum():
-            like = lambda x: (unicodedata.category(x), x.lower() == x, x.isalnum())
+            like = lambda x: (unicodedata.category(x), x.lower() == x, x.isalnum(), unicodedata.name(x, "").split(" ")[0])
             block = map(chr, range(ord(c) & ~0xFF, (ord(c) | 0xFF) + 1))
             found = "".join(x for x in block if like(x) == like(c) and x not in _COMMON)
         found = found if len(found) > 1 else ""
@@ -151,6 +196,21 @@ _TOKEN = "".join(_ALPHABETS[:3])
 _HEX = ("0123456789abcdef", "0123456789ABCDEF")
 
 
+def _folded(value: str) -> str:
+    """Lower case, character by character, so that places stay."""
+    return "".join(low if len(low := c.lower()) == 1 else c for c in value)
+
+
+def _raised(value: str) -> str:
+    return "".join(up if len(up := c.upper()) == 1 else c for c in value)
+
+
+def _script(word: str) -> str:
+    """latin or cyrillic, by the first letter; else empty."""
+    name = unicodedata.name(next((c for c in word if c.isalpha()), " "), "")
+    return next((x for x in ("latin", "cyrillic") if name.startswith(x.upper())), "")
+
+
 class Surrogates:
     """Keyed replacements; ``attempt`` selects another permutation."""
 
@@ -211,7 +271,7 @@ class Surrogates:
             return re.sub(r"\D", "", value)
         if kind == "iban":
             return value.replace(" ", "")
-        return value.lower() if kind in ("email", "name") else value
+        return _folded(value) if kind in ("email", "name") else value
 
     def of(self, kind: str, canonical: str, detail: str = "", attempt: int = 0) -> str:
         """The surrogate of a canonical value, itself canonical."""
@@ -237,21 +297,29 @@ class Surrogates:
             body = self._shaped(canonical[4:], kind, canonical[:2], attempt) + self._wider(attempt, _ALPHABETS[0], kind, canonical)
             return canonical[:2] + f"{98 - _mod97(canonical[:2] + '00' + body):02d}" + body
         if kind == "name":
-            script = "cyrillic" if any("а" <= c <= "я" or c == "ё" for c in canonical) else "latin"
-            h = self._hash(kind, canonical, detail, attempt)
-            words = canonical.split(" ")
-            given = _GIVEN[script, detail if detail != "n" else "mf"[h % 2]]
-            out = [given[(h >> 8 * (k + 1)) % len(given)].lower() for k in range(len(words) - 1)]
-            parts = _SYLLABLES[script]
-            family = "".join(parts[(h >> 64 + 8 * k) % len(parts)] for k in range(4))
-            family += "".join(parts[self._hash(kind, canonical, detail, attempt, k) % len(parts)] for k in range(attempt - NARROW + 1)) + _ENDING.get((script, detail), "")
-            return " ".join([*out, family])
+            return self._name(canonical, detail, attempt)
         if kind == "secret":
             if any(_OF[c] for c in canonical):
                 return self._shaped(canonical, kind, attempt) + self._wider(attempt, _ALPHABETS[0], kind, canonical)
             return self._token(len(canonical), _TOKEN, kind, canonical, attempt) + self._wider(attempt, _TOKEN, kind, canonical)
         return self._shaped(canonical, kind, attempt) + self._wider(attempt, _OF[canonical[-1]], kind, canonical)
 
+    def _name(self, canonical: str, detail: str, attempt: int) -> str:
+        """Word by word: given names by gender, the last word a family name."""
+        *given, family = canonical.split(" ")
+        out = []
+        for word in given:
+            script, h = _script(word), self._hash("given", word, detail, attempt)
+            names = _GIVEN.get((script, detail if detail != "n" else "mf"[h % 2]))
+            out.append(_folded(names[(h >> 8) % len(names)]) if names else self._shaped(word, "given", attempt))
+        script, h = _script(family), self._hash("family", family, attempt)
+        if parts := _SYLLABLES.get(script):
+            new = "".join(parts[(h >> 8 * k) % len(parts)] for k in range(4))
+            new += "".join(parts[self._hash("more", family, attempt, k) % len(parts)] for k in range(attempt - NARROW + 1)) + _ENDING.get((script, detail), "")
+        else:
+            new = self._shaped(family, "family", attempt) + self._wider(attempt, _OF[family[-1]] or _TOKEN[10:36], "family", family)
+        return " ".join([*out, new])
+
     def written(self, kind: str, value: str, surrogate: str) -> str:
         """``surrogate`` in the format of the mention ``value``."""
         if kind in ("card", "phone", "ssn"):
@@ -261,9 +329,11 @@ class Surrogates:
             chars = iter(surrogate)
             return "".join(c if c == " " else next(chars) for c in value) + "".join(chars)
         if kind == "email":
-            return "".join(s.upper() if c.isupper() and s.upper().lower() == s else s for c, s in zip(value, surrogate)) + surrogate[len(value) :]
+            return "".join(_raised(s) if c.isupper() and _folded(_raised(s)) == s else s for c, s in zip(value, surrogate)) + surrogate[len(value) :]
         if kind == "name":
-            return surrogate.upper() if value.isupper() and len(value) > 1 else surrogate.title()
+            if value.isupper() and len(value) > 1:
+                return _raised(surrogate)
+            return " ".join(_raised(w[0]) + w[1:] for w in surrogate.split(" ")) if value[0].isupper() else surrogate
         return surrogate
 
 
@@ -324,8 +394,11 @@ def resolve(entities: DataFrame, key: bytes = KEY) -> DataFrame:
 def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:
     """``docs`` with the text rewritten, and n_entities and kinds (name=count, sorted) added.
 
-    Null text stays null and has no entities. Repeated rows are rewritten alike.
-    Columns named like the two added ones give way.
+    Null text stays null and has no entities, an empty one stays empty; texts are
+    searched whole, however long. Repeated rows are rewritten alike and come out
+    as often as they went in. Where entities of several kinds overlap, the kind
+    that is listed first wins, then the one that begins first (ties: the longer).
+    An empty table gives no rows. Columns named like the two added ones give way.
     """
     docs = docs.drop(*(c for c in ("n_entities", "kinds") if c not in (id_col, text_col)))
     keyed = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(text_col).alias("tkey"), F.col(text_col).alias("text"))
@@ -362,3 +435,12 @@ def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key
             yield pa.record_batch([*b.columns, pa.array(counts, pa.int32()), pa.array(kinds, pa.string())], names=[*b.schema.names, "n_entities", "kinds"])
 
     return joined.mapInArrow(rewrite, out)
+
+
+def rewritten(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", key: bytes = KEY) -> DataFrame:
+    """``docs`` with its own columns only: the text rewritten, and ``size_col``, if there is one, its code points."""
+    packed = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    new = {text_col: F.col("text")}
+    if size_col in docs.columns:
+        new[size_col] = F.char_length("text").cast(docs.schema[size_col].dataType)
+    return replace(packed, "id", "text", key).select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from . import shared
+from .. import tables as shared
 
 WINDOW, MIN_WORDS, REPEAT_PERCENT = 8, 20, 30
 SPREAD, LEAST = 2.0, 100

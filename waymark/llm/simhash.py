@@ -29,9 +29,9 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from . import shared
+from .. import tables as shared
 
 DISTANCE, SEGMENTS = 4, 5
 WIDTHS = (13, 13, 13, 13, 12)
@@ -222,7 +222,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, fingerprint, component_id): one row for each row of ``docs``.
 
     ``component_id`` is the smallest id that links reach from the row, itself
-    included; null where only rows without an id are in reach.
+    included; null where only rows without an id are in reach. Texts are taken
+    whole, however long; rows with one id (ties) keep their own fingerprints;
+    other columns are unused.
     """
     fps = shared.table(fingerprints(docs, id_col, text_col), "fingerprints")
     # A fingerprint's smallest id stands for it.
@@ -236,7 +238,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _marked(text_col: str):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = np.fromiter((fingerprint(x.as_py()) for x in b.column(b.schema.names.index("row")).field(text_col)), np.uint64, b.num_rows)
+            yield b.append_column("fp", pa.array(fp.view(np.int64)))
+
+    return of
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that name their component; rows without an id stay too."""
-    dup = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__dup")).distinct()
-    return docs.join(dup, docs[id_col] == dup["__dup"], "left_anti")
+    """One row of each component, with the columns of ``docs``.
+
+    The row with the smallest id stays; rows without an id come after all others,
+    and of rows with one id (repeated rows, or an id that stands on several texts
+    of a component) any one stays. Null and empty texts are one component. An
+    empty table gives no rows.
+    """
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("at"))
+    schema = T.StructType([*rows.schema.fields, T.StructField("fp", T.LongType())])
+    rows = shared.table(rows.mapInArrow(_marked(text_col), schema), "marked")
+    # A fingerprint's first row stands for it in the graph; what it is called does not matter.
+    nodes = shared.table(rows.groupBy("fp").agg(F.min("at").alias("node")), "nodes")
+    reach = nodes.join(components(links(nodes)), "node", "left").select("fp", F.coalesce("component", "node").alias("component"))
+    best = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "at"))
+    kept = rows.groupBy("fp").agg(best.alias("best")).join(reach, "fp").groupBy("component").agg(F.min("best").alias("best"))
+    return rows.join(kept.select(F.col("best.at").alias("at")), "at", "left_semi").select("row.*")

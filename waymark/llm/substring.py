@@ -32,7 +32,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from . import shared
+from .. import tables as shared
 from .wordhash import Rolling, U, buffers, mix, pieces, word_hashes, words
 
 WINDOW, GRAM = 50, 25

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from . import shared
+from .. import tables as shared
 
 FOLDS, SAMPLE, VOTERS, CLEAN, LEAST, LIFT = 5, (4000, 2000), 300, 40, 4, 2.0
 #: Mined voters must be this unlikely (as a negative logarithm) to be so uneven by chance; some 100,000 words and beginnings are tried.
