@@ -90,9 +90,14 @@ _KINDS = {
     "phone": re.compile(r"(?<![\w+])(?P<whole>\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"),
     "name": re.compile(rf"\b(?P<title>{'|'.join(sorted(_TITLES, key=len, reverse=True))})\b\.?[ ]+(?P<whole>{_NAME}(?:[ ]{_NAME}){{0,2}})"),
 }
+#: The first of two words that may both be parts of a name.
+_PAIR = re.compile(rf"({_NAME}) (?=[^\W\d_a-zа-яё])")
 _GREETED = re.compile(rf"\b(?:{_BEFORE})(?P<whole>{_NAME}(?:[ ]{_NAME}){{1,2}})")
 _CALLED = re.compile(rf"\b(?P<whole>(?:{'|'.join(sorted(_FIRST, key=len, reverse=True))})(?:[ ]{_NAME}){{1,2}})")
-_MAY_GREET = ("Dear", "Hello", "Hi", "Lieb", "Hallo", "Ch", "Bonjour", "Estimad", "Querid", "Дорог", "Уважаем", "y name is", "igned by", "ch heiße", "e m'appelle", "e llamo", "еня зовут", "egards", "incerely", "ours", "Grüße", "Cordialement", "Atentamente", "Saludos", "уважением")
+_MAY_GREET = (
+    *(f"{w} " for w in "Dear Hello Hi Liebe Lieber Hallo Cher Chère Bonjour Estimado Estimada Querido Querida Дорогой Дорогая Уважаемый Уважаемая".split()),
+    "y name is", "igned by", "ch heiße", "e m'appelle", "e llamo", "еня зовут", "egards", "incerely", "Yours", "yours", "Grüße", "Cordialement", "Atentamente", "Saludos", "уважением",
+)
 
 
 def _luhn(digits: str) -> int:
@@ -114,10 +119,13 @@ def _gender(name: str, otherwise: str = "n") -> str:
 
 def _names(text: str, found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     """Names without a title: after a salutation or closing, with a common given name, or met before in the text."""
+    pairs = _PAIR.findall(text)
+    if not pairs:
+        return []
     taken = {e[0] for e in found if e[2] == "name"}
     out = []
     patterns = [_GREETED] if any(w in text for w in _MAY_GREET) else []
-    if not _FIRST.keys().isdisjoint(re.findall(r"[^\W\d_]+(?= )", text)):
+    if not _FIRST.keys().isdisjoint(pairs):
         patterns.append(_CALLED)
     for pattern in patterns:
         for m in pattern.finditer(text):
