@@ -19,15 +19,15 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where it is unset, one of our own:
-    a temporary folder on one machine, a folder in the warehouse on a cluster."""
+    """The folder in ``spark.checkpoint.dir``; where it is unset, a temporary folder of
+    our own in local mode, and an error on a cluster, whose machines share no such folder."""
     context = spark.sparkContext
     where = context.getConf().get("spark.checkpoint.dir", None) or _own.get(context.applicationId)
     if not where:
         if context.master.startswith("local") and not context.master.startswith("local-cluster"):
             where = "file://" + tempfile.mkdtemp(prefix="waymark-")
         else:
-            where = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_waymark"
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         _own[context.applicationId] = where
     return where.rstrip("/")
 
