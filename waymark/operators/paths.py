@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import scalar as S
+from . import ranks
 
 
 def segments(points: DataFrame, path: Sequence[str], order: str = "i") -> DataFrame:
@@ -66,11 +67,15 @@ def stride(points: DataFrame, path: Sequence[str], every: int, order: str = "i")
 
 
 def uniform_sample(df: DataFrame, group: Sequence[str], order: str, k: int) -> DataFrame:
-    """At most ``k`` rows of each group, evenly spaced from the first; all for k of 0 or beyond the size."""
-    w = W.partitionBy(*group)
-    numbered = df.withColumns({"r": F.row_number().over(w.orderBy(order)) - 1, "n": F.count("*").over(w)})
+    """At most ``k`` rows of each group, evenly spaced from the first; all for k of 0 or beyond the size.
+
+    Groups may be of any size; rows are counted over sort ranges. Null groups are left out.
+    """
     if k <= 0:
-        return numbered.drop("r", "n")
+        return df
+    ranked = ranks.placed(df, group, [order], "r")
+    sizes = ranked.groupBy(*group).agg(F.count("*").alias("n"))
+    numbered = ranked.join(sizes, list(group))
     step = F.greatest(F.floor(F.col("n") / k), F.lit(1))
     return numbered.where((F.col("n") <= k) | ((F.col("r") % step == 0) & (F.col("r") / step < k))).drop("r", "n")
 

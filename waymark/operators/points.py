@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import scalar as S
+from . import ranks
 
 
 def align(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -116,7 +117,7 @@ def body_stats(points: DataFrame, by: Sequence[str], target: float, percentile:
     """Height, scale to ``target``, foot height (a percentile, held to 0..100) and hip height."""
     lo, hi = F.min("z"), F.max("z")
     share = min(max(percentile, 0.0), 100.0) / 100
-    df = points.groupBy(*by).agg(lo.alias("z_min"), hi.alias("z_max"), F.percentile("z", share).alias("foot"))
+    df = points.groupBy(*by).agg(lo.alias("z_min"), hi.alias("z_max")).join(ranks.quantiles(points, by, "z", {"foot": share}), list(by))
     height = F.col("z_max") - F.col("z_min")
     return df.select(
         *by, "z_min", "z_max", height.alias("height"), F.try_divide(F.lit(target), F.nullif(height, F.lit(0.0))).alias("scale"), "foot",
@@ -157,9 +158,9 @@ def depth_alignment(df: DataFrame, by: Sequence[str], known: str, estimated: str
 
     Both are 0 unless more than ``least`` values span more than ``spread``.
     """
-    mid = df.groupBy(*by).agg(
-        F.percentile(known, 0.5).alias("mk"), F.percentile(estimated, 0.5).alias("me"), F.count("*").alias("n"), (F.max(known) - F.min(known)).alias("range")
-    )
+    mid = df.groupBy(*by).agg(F.count("*").alias("n"), (F.max(known) - F.min(known)).alias("range"))
+    for column, name in ((known, "mk"), (estimated, "me")):
+        mid = mid.join(ranks.quantiles(df, by, column, {name: 0.5}), list(by), "left")
     dev = df.join(mid, list(by)).groupBy(*by).agg(
         F.avg(F.abs(F.col(known) - F.col("mk"))).alias("dk"), F.avg(F.abs(F.col(estimated) - F.col("me"))).alias("de"),
         F.max("mk").alias("mk"), F.max("me").alias("me"), F.max("n").alias("n"), F.max("range").alias("range"),
@@ -171,6 +172,6 @@ def depth_alignment(df: DataFrame, by: Sequence[str], known: str, estimated: str
 
 def median_scale(calibration: DataFrame) -> DataFrame:
     """``calibration`` with med_scale, the median of positive scales (0 without any), and whether a row is reliable."""
-    mid = calibration.agg(F.coalesce(F.percentile(F.when(F.col("scale") > 0, F.col("scale")), 0.5), F.lit(0.0)).alias("med_scale"))
+    mid = ranks.quantiles(calibration.where("scale > 0"), [], "scale", {"med": 0.5}).agg(F.coalesce(F.max("med"), F.lit(0.0)).alias("med_scale"))
     df = calibration.crossJoin(F.broadcast(mid))
     return df.withColumn("reliable", (F.col("scale") > 0) & F.col("scale").between(0.2 * F.col("med_scale"), 5 * F.col("med_scale")))

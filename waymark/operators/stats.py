@@ -6,28 +6,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import tables
+from . import ranks
+
 By = Sequence[str | Column]
 
 
-def describe_columns(value: str | Column, prefix: str = "", digits: tuple[int, int] | None = None) -> list[Column]:
-    """count, min, max, mean, median, p10, p90 and population stddev (null for fewer than two).
+def describe(df: DataFrame, value: str | Column, by: Sequence[str] = (), prefix: str = "", digits: tuple[int, int] | None = None) -> DataFrame:
+    """count, min, max, mean, median, p10, p90 and population stddev (null for fewer than two) of each group.
 
-    ``digits`` rounds mean and stddev to its first and the percentiles to its second number of places.
+    Nulls are left out, a group of nulls has count 0. Percentiles are exact and
+    come from ranks, so no group's values meet in one task. ``digits`` rounds mean
+    and stddev to its first and the percentiles to its second number of places.
     """
     v = F.col(value) if isinstance(value, str) else value
-    n = F.count(v)
-    means = {"mean": F.avg(v), "stddev": F.when(n > 1, F.stddev_pop(v))}
-    shares = {"median": F.percentile(v, 0.5), "p10": F.percentile(v, 0.1), "p90": F.percentile(v, 0.9)}
-    if digits:
-        means = {k: F.round(c, digits[0]) for k, c in means.items()}
-        shares = {k: F.round(c, digits[1]) for k, c in shares.items()}
-    columns = {"count": n, "min": F.min(v), "max": F.max(v), "mean": means["mean"], **shares, "stddev": means["stddev"]}
-    return [c.alias(f"{prefix}{k}") for k, c in columns.items()]
-
-
-def describe(df: DataFrame, value: str | Column, by: By = (), prefix: str = "", digits: tuple[int, int] | None = None) -> DataFrame:
-    """One row for each group; nulls are left out, a group of nulls has count 0."""
-    return df.groupBy(*by).agg(*describe_columns(value, prefix, digits))
+    # Read twice, once for the sums and once for the ranks.
+    values = tables.table(df.select(*by, v.alias("__v")), "described")
+    n = F.count("__v")
+    sums = values.groupBy(*by).agg(n.alias("count"), F.min("__v").alias("min"), F.max("__v").alias("max"), F.avg("__v").alias("mean"), F.when(n > 1, F.stddev_pop("__v")).alias("stddev"))
+    shares = ranks.quantiles(values, by, "__v", {"median": 0.5, "p10": 0.1, "p90": 0.9})
+    if by:
+        shares = shares.select(*(F.col(c).alias(f"__k{k}") for k, c in enumerate(by)), "median", "p10", "p90")
+        same = [F.col(c).eqNullSafe(F.col(f"__k{k}")) for k, c in enumerate(by)]
+        out = sums.join(shares, same, "left")
+    else:
+        out = sums.crossJoin(F.broadcast(shares))  # one row each
+    places = {"mean": 0, "stddev": 0, "median": 1, "p10": 1, "p90": 1}
+    names = ("count", "min", "max", "mean", "median", "p10", "p90", "stddev")
+    return out.select(*by, *((F.round(c, digits[places[c]]) if digits and c in places else F.col(c)).alias(f"{prefix}{c}") for c in names))
 
 
 def threshold_counts(df: DataFrame, value: Column, limits: dict[str, float], by: By = ()) -> DataFrame:
@@ -40,6 +46,7 @@ def histogram(df: DataFrame, value: str, bins: int = 60) -> DataFrame:
 
     Where all values are equal, the range is widened by one half to both sides.
     """
+    df = tables.table(df.select(value), "binned")  # read for the ends and for the bins
     ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     ends = ends.select(
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import scalar as S
-from ..operators import imaging, points
+from ..operators import imaging, points, ranks
 from .proxies import Proxies, sql
 from .registry import query
 
@@ -167,9 +167,7 @@ def top_down_positions(p: Proxies) -> DataFrame:
 list_sum(list_transform(list_zip(a, b), lambda t: abs(t[1]::DOUBLE - t[2]::DOUBLE))) / len(a) AS l1 FROM e WHERE b IS NOT NULL)
 SELECT label, count(*) AS n, round(avg(mse), 6) AS mse, round(avg(l1), 6) AS l1, round(avg(20 * log10(1 / sqrt(mse))), 6) AS psnr FROM d GROUP BY label""")
 def psnr_by_group(p: Proxies) -> DataFrame:
-    from pyspark.sql import Window as W
-
-    e = p.table("embeddings").withColumn("b", F.lead("embedding").over(W.partitionBy("label").orderBy("vec_id"))).where("b is not null")
+    e = ranks.with_next(p.table("embeddings"), ["label"], ["vec_id"], "embedding", "b")
     df = imaging.quality(e, "embedding", "b")
     return df.groupBy("label").agg(F.count("*").alias("n"), *(F.round(F.avg(c), 6).alias(c) for c in ("mse", "l1", "psnr")))
 
@@ -177,9 +175,7 @@ def psnr_by_group(p: Proxies) -> DataFrame:
 @query()
 def ssim_by_group(p: Proxies) -> DataFrame:
     """SSIM of 8 x 8 images, an image kernel SQL does not have; tested on fixtures."""
-    from pyspark.sql import Window as W
-
-    e = p.table("embeddings").withColumn("b", F.lead("embedding").over(W.partitionBy("label").orderBy("vec_id"))).where("b is not null")
+    e = ranks.with_next(p.table("embeddings"), ["label"], ["vec_id"], "embedding", "b")
     return e.withColumn("ssim", imaging.ssim("embedding", "b", F.lit(8))).groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("ssim"), 6).alias("ssim"))
 
 

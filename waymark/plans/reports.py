@@ -95,7 +95,7 @@ def count_with_null_key(p: Proxies) -> DataFrame:
 @query(sql(f"SELECT scene, count(*) AS n, {describe_sql('speed', 'speed_')} FROM assignment LEFT JOIN actor ON actor_id = id GROUP BY scene", "assignment", "actor"))
 def actor_speed_samples_left_join(p: Proxies) -> DataFrame:
     joined = p.assignment().join(p.actor(), F.col("actor_id") == F.col("id"), "left")
-    return joined.groupBy("scene").agg(F.count("*").alias("n"), *stats.describe_columns("speed", "speed_", DIGITS))
+    return joined.groupBy("scene").agg(F.count("*").alias("n")).join(stats.describe(joined, "speed", ["scene"], "speed_", DIGITS), "scene")
 
 
 @query(sql("SELECT ordinal, actor_id FROM assignment WHERE actor_id NOT IN (SELECT id FROM actor)", "assignment", "actor"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions import scalar as S
-from ..operators import cameras, frames, points
+from ..operators import cameras, frames, points, ranks
 from ..operators.planning import numbered
 from .proxies import Proxies, sql
 from .registry import query
@@ -83,15 +83,13 @@ def pose_walk(p: Proxies) -> DataFrame:
     return cameras.walk(e, ["user_id"], "event_id").select("user_id", "event_id", (F.round("x", 6) + 0).alias("x"), (F.round("y", 6) + 0).alias("y"), "heading")
 
 
-@query()
+@query(sql("""WITH u AS (SELECT pid, sqrt(w * w + qx * qx + qy * qy + qz * qz) AS n, CASE WHEN w >= 0 THEN 1 ELSE -1 END AS s, w, qx, qy, qz FROM point)
+SELECT pid, round(s * w / n, 6) + 0 AS w, round(s * qx / n, 6) + 0 AS x, round(s * qy / n, 6) + 0 AS y, round(s * qz / n, 6) + 0 AS z FROM u""", "point"))
 def quaternion_round_trip(p: Proxies) -> DataFrame:
-    """Largest difference of quaternions turned to matrices and back: an eigenvector kernel SQL lacks."""
-    q = [F.col(c) for c in ("w", "qx", "qy", "qz")]
-    m = S.quaternion_matrix(*q)
+    """The quaternion that a quaternion's matrix turns back to: of length one, its first part not negative."""
+    m = S.quaternion_matrix(*(F.col(c) for c in ("w", "qx", "qy", "qz")))
     df = p.point().withColumn("back", cameras.matrix_quaternion(F.array(*(c for row in m for c in row))))
-    unit = cameras.dot(q, q) + q[3] * q[3]
-    same = F.abs(sum((q[k] * F.get("back", k) for k in range(1, 4)), q[0] * F.get("back", 0))) / F.sqrt(unit)
-    return df.select("pid", F.round(same, 6).alias("same"))
+    return df.select("pid", *((F.round(F.get("back", k), 6) + 0).alias(n) for k, n in enumerate("wxyz")))
 
 
 @query(sql("SELECT scene, label FROM (SELECT scene, label, dense_rank() OVER (ORDER BY scene) AS r FROM (SELECT DISTINCT scene, label FROM path_point)) WHERE r <= 4", "path_point"))
@@ -132,12 +130,11 @@ def minutes_by_group(p: Proxies) -> DataFrame:
     return p.table("events").groupBy(F.col("event_type").alias("part")).agg(F.round(F.sum("value") / 60, 6).alias("minutes"))
 
 
-@query(sql("SELECT scene, string_agg(label::VARCHAR, ',' ORDER BY label, i) AS cached FROM path_point WHERE label % 100 = 0 GROUP BY scene", "path_point"))
+@query(sql("SELECT scene, label, min(position) AS first, count(*) AS n FROM (SELECT scene, label, row_number() OVER (PARTITION BY scene ORDER BY label, i) AS position FROM path_point) GROUP BY ALL", "path_point"))
 def cached_by_scene(p: Proxies) -> DataFrame:
-    """Points cached for each path, put together for each scene."""
-    df = p.path_point().where("label % 100 = 0").groupBy(*PATH).agg(F.collect_list("label").alias("cached"))
-    flat = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("label", "cached"))), lambda s: s["cached"]))
-    return df.groupBy("scene").agg(F.array_join(flat.cast("array<string>"), ",").alias("cached"))
+    """Where each path's points begin, and how many there are, among all that its scene flushes at its end."""
+    sizes = p.path_point().groupBy(*PATH).agg(F.count("*").alias("n"))
+    return ranks.running(sizes, ["scene"], ["label"], "n", "first").withColumn("first", F.col("first") + 1)
 
 
 @query(sql("SELECT scene, label, i, x, round(y, 6) AS y, row_number() OVER (PARTITION BY scene ORDER BY label, i) AS position FROM path_point", "path_point"))
