@@ -1,5 +1,6 @@
 """Hand-computed cases and properties."""
 
+import collections
 import math
 import random
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import Row, functions as F
 
 from waymark.functions import scalar as S
-from waymark.operators import frames, imaging, paths, planning, points, stats
+from waymark.operators import frames, imaging, paths, planning, ranks, points, stats
 
 P = ["p"]
 
@@ -85,7 +86,7 @@ def test_assignment(spark):
     labels = spark.createDataFrame([(x,) for x in "edcba"], "label string")
     got = planning.assign(labels, "label", ["u", "v"]).orderBy("label").collect()
     assert [r["round"] for r in got] == [0, 0, 1, 1, 2] and [r["order"] for r in got] == [0, 1, 0, 1, 0]
-    seeded = planning.assign(labels, "label", ["u", "v", "w"], seed=33).orderBy("label").collect()
+    seeded = planning.assign(labels, "label", ["u", "v", "w"], seed=33, sequential=True).orderBy("label").collect()
     rng, order, want = random.Random(33), ["u", "v", "w"], []
     for _ in range(2):
         rng.shuffle(order)
@@ -93,6 +94,52 @@ def test_assignment(spark):
     assert [r.actor for r in seeded] == want[:5]
 
 
+def test_seeded_rounds_in_parallel(spark, monkeypatch):
+    """Each round has a shuffle of its own, whatever the partitions; one generator's rounds may come in blocks."""
+    names = [f"a{k}" for k in range(5)]
+    labels = spark.range(1003).select(F.format_string("%04d", "id").alias("label")).repartition(7)
+    got = {r.label: (r["round"], r.order, r.actor) for r in planning.assign(labels, "label", names, seed=33).collect()}
+    assert len(got) == 1003
+    for k in range(1003):
+        order = list(names)
+        random.Random(f"33/{k // 5}").shuffle(order)
+        assert got[f"{k:04d}"] == (k // 5, k % 5, order[k % 5])
+    monkeypatch.setattr(planning, "ROUNDS", 17)
+    turns = dict(planning.sequential_rounds(names, 201, 33))
+    for r in planning.assign(labels, "label", names, seed=33, sequential=True).collect():
+        assert r.actor == turns[r["round"]][r.order]
+    assert planning.assign(labels.where("false"), "label", names, seed=1).count() == planning.assign(labels.where("false"), "label", names, seed=1, sequential=True).count() == 0
+
+
+def test_ranks(spark):
+    """Places, neighbours, running sums and quantiles of groups of any size, ties and null groups included."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "a", "a", "b", "c"]), rng.choice([None, *range(20)]), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "g string, v int, id long").repartition(5)
+    groups = collections.defaultdict(list)
+    for g, v, k in rows:
+        groups[g].append((v, k))
+    placed = ranks.placed(df, ["g"], ["id"], "p").collect()
+    at = {g: {k: n for n, (_, k) in enumerate(sorted(x, key=lambda r: r[1]))} for g, x in groups.items()}
+    assert len(placed) == 500 and all(at[r.g][r.id] == r.p for r in placed)
+    follow = {(r.g, r.id): r.b for r in ranks.with_next(df, ["g"], ["id"], "id", "b").collect()}
+    assert len(follow) == 500 - len(groups) and all(at[g][b] == at[g][k] + 1 for (g, k), b in follow.items())
+    sums = {r.id: r.s for r in ranks.running(df.withColumn("v", F.coalesce("v", F.lit(1))), ["g"], ["id"], "v", "s").collect()}
+    for g, x in groups.items():
+        total = 0
+        for v, k in sorted(x, key=lambda r: r[1]):
+            assert sums[k] == total
+            total += 1 if v is None else v
+    got = {r.g: r for r in ranks.quantiles(df, ["g"], "v", {"low": 0.0, "mid": 0.5, "odd": 0.37}).collect()}
+    for g, x in groups.items():
+        v = sorted(v for v, _ in x if v is not None)
+        for name, q in (("low", 0.0), ("mid", 0.5), ("odd", 0.37)):
+            pos = (len(v) - 1) * q
+            want = v[math.floor(pos)] + (v[math.ceil(pos)] - v[math.floor(pos)]) * (pos - math.floor(pos))
+            assert math.isclose(got[g][name], want, abs_tol=1e-9), (g, name)
+    assert ranks.quantiles(df.where("false"), [], "v", {"mid": 0.5}).first().mid is None
+
+
 def test_shards_partition_the_input(spark):
     df = spark.createDataFrame([(x,) for x in "abcde"], "scene string")
     assert [r.scene for r in planning.shard(df, "scene", 2, 2).orderBy("scene").collect()] == ["b", "d"]

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .. import tables
 
+#: Rounds that are written at a time where one generator makes them all.
+ROUNDS = 50_000
+
 
 def first_reason(*tests: tuple[Column, str]) -> Column:
     """The name of the first test that holds, null if none does."""
@@ -60,25 +65,57 @@ def deal(labels: DataFrame, key: str, actors: int) -> DataFrame:
     return k.select(key, F.floor(F.col("__k") / actors).cast("long").alias("round"), (F.col("__k") % actors).alias("order"))
 
 
-def shuffled_rounds(actors: Sequence, rounds: int, seed: int) -> list[list]:
-    """The order of actors in each round: one list, shuffled in place again for every round."""
-    rng, order, out = random.Random(seed), list(actors), []
-    for _ in range(rounds):
+def round_order(actors: Sequence, seed: int, number: int) -> list:
+    """The order of actors in one round, from a generator seeded by seed and round."""
+    order = list(actors)
+    random.Random(f"{seed}/{number}").shuffle(order)
+    return order
+
+
+def sequential_rounds(actors: Sequence, rounds: int, seed: int) -> Iterator[tuple[int, list]]:
+    """Rounds in turn, one generator shuffling one list in place again and again."""
+    rng, order = random.Random(seed), list(actors)
+    for number in range(rounds):
         rng.shuffle(order)
-        out.append(list(order))
-    return out
+        yield number, list(order)
+
 
+def _orders(actors: list[str], seed: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(r, k, a) for r in b.column(0).to_pylist() for k, a in enumerate(round_order(actors, seed, r))]
+            number, place, actor = zip(*rows) if rows else ((), (), ())
+            yield pa.record_batch([pa.array(number, pa.int64()), pa.array(place, pa.int64()), pa.array(actor, pa.string())], names=["round", "order", "actor"])
 
-def assign(labels: DataFrame, key: str, actors: Sequence, seed: int | None = None) -> DataFrame:
-    """(key, round, order, actor): actors dealt over the sorted labels, reshuffled each round with a seed."""
+    return of
+
+
+def assign(labels: DataFrame, key: str, actors: Sequence, seed: int | None = None, sequential: bool = False) -> DataFrame:
+    """(key, round, order, actor): actors dealt over the sorted labels, reshuffled each round with a seed.
+
+    Every round's shuffle has a generator of its own, seeded by seed and round, so
+    rounds are shuffled in parallel. ``sequential`` gives the order of one
+    generator that shuffles one list round after round; that runs on the driver,
+    which writes ``ROUNDS`` rounds at a time and holds no more.
+    """
     spark = labels.sparkSession
-    dealt = deal(labels, key, len(actors))
+    names = [str(a) for a in actors]
+    dealt = deal(labels, key, len(names))
     if seed is None:
-        table = spark.createDataFrame([(k, str(a)) for k, a in enumerate(actors)], "order long, actor string")
+        table = spark.createDataFrame(list(enumerate(names)), "order long, actor string")
         return dealt.join(F.broadcast(table), "order").select(key, "round", "order", "actor")
-    rounds = (dealt.agg(F.max("round")).first()[0] or 0) + 1
-    rows = [(r, k, str(a)) for r, row in enumerate(shuffled_rounds(actors, rounds, seed)) for k, a in enumerate(row)]
-    table = spark.createDataFrame(rows, "round long, order long, actor string")
+    dealt = tables.table(dealt, "dealt")
+    schema = "round long, order long, actor string"
+    rounds = dealt.agg(F.max("round")).first()[0]
+    rounds = 0 if rounds is None else rounds + 1
+    if sequential:
+        turns, table = sequential_rounds(names, rounds, seed), None
+        while block := list(islice(turns, ROUNDS)):
+            part = tables.table(spark.createDataFrame([(r, k, a) for r, row in block for k, a in enumerate(row)], schema), "rounds")
+            table = part if table is None else table.union(part)
+        table = spark.createDataFrame([], schema) if table is None else table
+    else:
+        table = spark.range(rounds).mapInArrow(_orders(names, seed), schema)
     return dealt.join(table, ["round", "order"]).select(key, "round", "order", "actor")
 
 

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
-from .. import tables
 from ..functions import scalar as S
 from ..operators import planning
 from ..streaming import progress
@@ -60,8 +57,7 @@ def assignment_counts(p: Proxies) -> DataFrame:
 @query()
 def seeded_assignment(p: Proxies) -> DataFrame:
     """Shuffles of Python's generator, which SQL cannot make; tested against them directly."""
-    labels = p.table("nation").select(F.col("n_name").alias("label"))
-    return planning.assign(labels, "label", [f"actor{k}" for k in range(4)], seed=33)
+    return planning.assign(p.assignment().select("label"), "label", [f"actor{k}" for k in range(7)], seed=33)
 
 
 @query("SELECT o_orderkey AS image, (row_number() OVER (ORDER BY o_orderkey) - 1) % 8 = 0 AS is_test FROM orders")
@@ -140,16 +136,11 @@ def _stream(p: Proxies) -> DataFrame:
 @query("SELECT count(*) AS jobs, CAST(sum(user_id) AS BIGINT) AS paths, round(sum(value), 6) AS seconds FROM events WHERE event_type = 'purchase'")
 def stream_progress(p: Proxies) -> DataFrame:
     done = _stream(p).where("event_type = 'purchase'")
-    return progress.drain(progress.progress_stream(done, F.col("user_id"), F.col("value")), f"progress_{id(p)}", checkpoint=_checkpoint(p))
+    return progress.drain(progress.progress_stream(done, F.col("user_id"), F.col("value")))
 
 
 @query(sql(_STATE, "logline"))
 def stream_resume(p: Proxies) -> DataFrame:
     status = F.when(F.col("event_type") == "purchase", "SUCCESS").when(F.col("event_type") == "error", "FAILED")
     log = _stream(p).select(F.col("user_id").alias("scene"), (F.floor("value") % 7).cast("long").alias("actor"), status.alias("status"))
-    return progress.drain(progress.resume_stream(log, JOB), f"resume_{id(p)}", checkpoint=_checkpoint(p))
-
-
-def _checkpoint(p: Proxies) -> str:
-    """A folder for a stream's state, in the cluster's shared folder."""
-    return f"{tables.shared_dir(p.spark)}/streams/{uuid.uuid4().hex}"
+    return progress.drain(progress.resume_stream(log, JOB))
