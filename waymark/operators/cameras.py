@@ -149,13 +149,13 @@ def matrix_quaternion(flat: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def _harmonics(d: np.ndarray) -> np.ndarray:
-    """Real spherical harmonics of degrees 1 to 3 in unit directions (rows x 15), from associated Legendre recursions."""
+def _harmonics(d: np.ndarray, degree: int = 3) -> np.ndarray:
+    """Real spherical harmonics of degrees 1 to ``degree`` in unit directions (rows x 15 for 3), from associated Legendre recursions."""
     from math import factorial, pi, sqrt
 
     x, y, z = d.T
     out = []
-    for l in range(1, 4):
+    for l in range(1, degree + 1):
         for m in range(-l, l + 1):
             a = abs(m)
             # sin^m times the m-th Legendre derivative, without dividing by the sine.
@@ -187,15 +187,43 @@ def rotate_harmonics(coefficients: pd.Series, rotation: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def harmonic_colours(coefficients: pd.Series, direction: pd.Series) -> pd.Series:
-    """Three channels of 16 coefficients each (degree 3) in a direction, shifted by one half, not negative."""
-    out = []
-    for c, d in zip(coefficients, direction):
-        v = np.asarray(d, float)
-        basis = np.r_[S.SH_C0, _harmonics((v / max(np.linalg.norm(v), 1e-12))[None])[0]]
-        out.append(np.maximum(np.asarray(c, float).reshape(3, 16) @ basis + 0.5, 0).tolist())
+    """Three channels of 1, 4, 9, 16 or 25 coefficients each (degree 0 to 4) in a direction, shifted by one half, not negative."""
+    sizes = coefficients.map(len).to_numpy()
+    out = np.empty(len(sizes), object)
+    d = np.array([np.asarray(v, float) for v in direction]).reshape(-1, 3)
+    d /= np.maximum(np.linalg.norm(d, axis=1, keepdims=True), 1e-12)
+    for n in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == n)
+        degree = round((n // 3) ** 0.5) - 1
+        basis = np.c_[np.full(len(own), S.SH_C0), _harmonics(d[own], degree)] if degree else np.full((len(own), 1), S.SH_C0)
+        values = np.array([np.asarray(coefficients.iloc[k], float) for k in own]).reshape(len(own), 3, -1)
+        for k, v in zip(own, np.maximum(np.einsum("ncb,nb->nc", values, basis) + 0.5, 0)):
+            out[k] = v.tolist()
     return pd.Series(out, dtype=object)
 
 
+def orbit_rotation(pitch: Column, yaw: Column) -> list[list[Column]]:
+    """Rows of the rotation by ``yaw`` about z after ``pitch`` about x, in degrees."""
+    a, b = F.radians(pitch), F.radians(yaw)
+    zero = F.lit(0.0)
+    return [
+        [F.cos(b), -F.sin(b) * F.cos(a), F.sin(b) * F.sin(a)],
+        [F.sin(b), F.cos(b) * F.cos(a), -F.cos(b) * F.sin(a)],
+        [zero, F.sin(a), F.cos(a)],
+    ]
+
+
+def principal_projection(near: float, far: float, fx: Column, fy: Column, cx: Column, cy: Column, width: Column, height: Column) -> list[list[Column]]:
+    """Rows of a perspective projection whose axis meets the image at (cx, cy) pixels."""
+    zero, one = F.lit(0.0), F.lit(1.0)
+    return [
+        [2 * fx / width, zero, 2 * cx / width - 1, zero],
+        [zero, 2 * fy / height, 2 * cy / height - 1, zero],
+        [zero, zero, F.lit(far / (far - near)), F.lit(-far * near / (far - near))],
+        [zero, zero, one, zero],
+    ]
+
+
 def json_cameras(documents: DataFrame) -> DataFrame:
     """(file, k, image, view) of transform documents: y and z axes of each pose turned, then inverted.
 
