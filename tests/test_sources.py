@@ -30,8 +30,11 @@ def test_manifest_round_trip(spark, tmp_path):
     actors = spark.createDataFrame([("u",), ("v",)], "id string")
     labels = spark.createDataFrame([("s", "a"), ("s", "b")], "scene string, label string")
     rows = labels.withColumns({"actor_id": F.lit("u"), "round": F.lit(0), "order_index": F.lit(0)})
-    text = sinks.manifest(rows, actors, 33, labels).first().value
+    lines = sinks.manifest(rows.withColumn("order_index", F.when(F.col("label") == "b", 10).otherwise(2)), actors, 33, labels)
+    sinks.write_document(lines, str(tmp_path / "whole.json"))
+    text = (tmp_path / "whole.json").read_text()
     document = json.loads(text)
+    assert document["seed"] == 33 and [a["label"] for a in document["assignments"]] == ["a", "b"] and json.loads("".join(r.value for r in lines.collect())) == document
     assert document["per_actor_counts"] == {"u": 2, "v": 0} and document["label_count"] == 2 and list(document) == sorted(document)
     (tmp_path / "m.json").write_text(text)
     assignments, found = documents.manifest(spark, str(tmp_path / "m.json"))
@@ -112,10 +115,13 @@ def test_stream_equals_batch(spark, tmp_path):
     rows = spark.createDataFrame([("s", "a", "FAILED"), ("s", "a", "SUCCESS"), ("s", "b", "FAILED")], "scene string, actor string, status string")
     rows.write.parquet(str(tmp_path / "log"))
     stream = progress.finished(spark, str(tmp_path / "log"), rows.schema, files=1)
-    got = progress.drain(progress.resume_stream(stream, ["scene", "actor"]), "resumed", checkpoint=str(tmp_path / "c"))
+    got = progress.drain(progress.resume_stream(stream, ["scene", "actor"]), checkpoint=str(tmp_path / "c"))
     assert {(r.actor, r.state) for r in got.collect()} == {("a", "completed"), ("b", "failed")}
     progress.snapshots(progress.resume_stream(stream, ["scene"]), str(tmp_path / "snap"), str(tmp_path / "c2")).awaitTermination()
     assert spark.read.json(str(tmp_path / "snap")).first().state == "completed"
+    (tmp_path / "none").mkdir()
+    late = progress.finished(spark, str(tmp_path / "none"), rows.schema)
+    assert progress.drain(progress.resume_stream(late, ["scene"])).count() == 0
 
 
 def test_colmap_text_written_and_read(spark, tmp_path):
@@ -134,3 +140,24 @@ def test_colmap_text_written_and_read(spark, tmp_path):
 def test_quality_results(spark):
     rows = spark.createDataFrame([("s", "m", "a", 1.0), ("s", "m", "b", 3.0)], "scene string, method string, image string, PSNR double")
     assert json.loads(sinks.quality_results(rows).first().value) == {"s": {"m": {"PSNR": 2.0}}}
+
+
+def test_depth_parameters_and_empty_documents(spark):
+    rows = spark.createDataFrame([('b"x', 1.0, 2.0), ("a", 3.0, None)], "image_name string, scale double, offset double")
+    got = json.loads("".join(r.value for r in sinks.depth_parameters(rows).collect()))
+    assert got == {'b"x': {"scale": 1.0, "offset": 2.0}, "a": {"scale": 3.0}}
+    assert json.loads("".join(r.value for r in sinks.depth_parameters(rows.where("false")).collect())) == {}
+
+
+def test_colmap_binary_written_and_read(spark, tmp_path):
+    t, b = tmp_path / "t", tmp_path / "b"
+    t.mkdir(), b.mkdir()
+    (t / "cameras.txt").write_text("2 SIMPLE_RADIAL 640 480 500 320 240 0.1\n1 PINHOLE 640 480 500 500 320 240\n")
+    (t / "images.txt").write_text("1 1 0 0 0 1 2 3 1 \u00e4 b.png\n10 20 7 30 40 -1\n2 1 0 0 0 1 2 3 1 b.png\n\n")
+    (t / "points3D.txt").write_text("7 1 2 3 10 20 30 0.5 1 0 2 4\n3 1 2 3 255 0 30 0.5\n")
+    for table in ("cameras", "images", "points3D"):
+        first = clouds.colmap(spark, str(t), table)
+        sinks.write_colmap(first, str(b), table)
+        again = clouds.colmap(spark, str(b), table).collect()
+        assert sorted(map(repr, again)) == sorted(map(repr, first.collect()))
+        assert [r[0] for r in again] == sorted(r[0] for r in again)

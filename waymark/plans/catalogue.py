@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import clouds, files, reports, routes, views, work  # noqa: F401  they register themselves
+from . import clouds, files, reports, routes, stored, views, work  # noqa: F401  they register themselves
 from .registry import QUERIES, SQL
 
 

@@ -294,7 +294,24 @@ def dense_array(raw: bytes) -> np.ndarray:
         fields.append(int(raw[at:end]))
         at = end + 1
     w, h, c = fields
-    return np.frombuffer(raw, "<f4", w * h * c, at).reshape((w, h, c), order="F").transpose(1, 0, 2).squeeze()
+    cells = np.frombuffer(raw, "<f4", w * h * c, at).reshape((w, h, c), order="F").transpose(1, 0, 2)
+    return cells[:, :, 0] if c == 1 else cells
+
+
+def dense_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(file, y, x, c, value): the cells of dense maps."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                cells = dense_array(raw)
+                cells = cells.reshape(cells.shape[0], -1, 1) if cells.ndim < 3 else cells
+                y, x, c = (v.ravel() for v in np.indices(cells.shape))
+                for a in range(0, cells.size, ROWS):
+                    part = slice(a, a + ROWS)
+                    yield pa.record_batch([pa.array([file] * len(y[part])), pa.array(y[part]), pa.array(x[part]), pa.array(c[part]), pa.array(cells.ravel()[part].astype("f4"))], names=["file", "y", "x", "c", "value"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(of, "file string, y bigint, x bigint, c bigint, value float")
 
 
 def poses(spark: SparkSession, path: str) -> DataFrame:

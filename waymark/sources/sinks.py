@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import os
+import struct
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import tables
+from .clouds import CAMERA_MODELS
+
 
 def report(sections: dict[str, DataFrame]) -> DataFrame:
     """One row with one JSON document: each section is the array of its rows, nulls left out.
@@ -21,21 +31,88 @@ def write_report(sections: dict[str, DataFrame], path: str) -> None:
     report(sections).coalesce(1).write.mode("overwrite").text(path)
 
 
+def _quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    listed = F.to_json(F.array(text.cast("string")))
+    return listed.substr(F.lit(2), F.length(listed) - 2)
+
+
+def map_lines(df: DataFrame, key: str = "k", value: str = "v") -> DataFrame:
+    """(t, k, at, value): the lines of a JSON object of names (``key``) and JSON texts (``value``), to be sorted by the first three."""
+    return _lines(df.select(F.col(key).cast("string").alias("k"), F.concat(_quoted(F.col(key)), F.lit(":"), F.col(value)).alias("v")), "{", "}")
+
+
+def list_lines(df: DataFrame, key: str = "k", value: str = "v") -> DataFrame:
+    """(t, k, at, value): the lines of a JSON array of JSON texts in order of ``key``, to be sorted by the first three."""
+    return _lines(df.select(F.col(key).cast("string").alias("k"), F.col(value).alias("v")), "[", "]")
+
+
+def _lines(df: DataFrame, opened: str, closed: str) -> DataFrame:
+    rows = tables.table(df.withColumn("at", F.monotonically_increasing_id()), "lines")  # read for the first row, too
+    first = rows.agg(F.min(F.struct("k", "at")).alias("first"))  # one row
+    comma = F.when(F.struct("k", "at") == F.col("first"), "").otherwise(",")
+    body = rows.crossJoin(F.broadcast(first)).select(F.lit(1).alias("t"), "k", "at", F.concat(comma, "v").alias("value"))
+    edge = df.sparkSession.createDataFrame([(0, None, 0, opened), (2, None, 0, closed)], "t int, k string, at long, value string")
+    return edge.unionByName(body)
+
+
+def document_lines(sections: dict[str, DataFrame | str]) -> DataFrame:
+    """(value): the lines of one JSON object with sorted keys, in order.
+
+    A section is a JSON text, or lines of ``map_lines`` or ``list_lines``. The
+    sort is global, in as many tasks as there are ranges: no row and no task
+    holds the document. Written as text, the part files one after another are it.
+    """
+    spark = next(df.sparkSession for df in sections.values() if isinstance(df, DataFrame))
+    lines = spark.createDataFrame([(len(sections), 0, None, 0, "}")], "s int, t int, k string, at long, value string")
+    for n, name in enumerate(sorted(sections)):
+        part, head = sections[name], ("," if n else "{") + json.dumps(name) + ":"
+        if isinstance(part, str):
+            lines = lines.unionByName(spark.createDataFrame([(n, 0, None, 0, head + part)], lines.schema))
+        else:
+            named = F.when(F.col("t") == 0, F.concat(F.lit(head), "value")).otherwise(F.col("value"))
+            lines = lines.unionByName(part.withColumns({"s": F.lit(n), "value": named}))
+    return lines.orderBy("s", "t", "k", "at").select("value")
+
+
+def _sortable(*columns: str) -> Column:
+    """A text that sorts like the numbers and texts of ``columns``."""
+    return F.concat_ws("/", *(F.lpad(F.col(c).cast("string"), 20, "0") if c in ("round", "order_index") else F.col(c).cast("string") for c in columns))
+
+
 def manifest(assignments: DataFrame, actors: DataFrame, seed: int, labels: DataFrame) -> DataFrame:
-    """The manifest as one JSON document with sorted keys; actors without labels count 0."""
+    """The lines of the manifest, one JSON object with sorted keys; actors without labels count 0."""
     per_actor = actors.select("id").join(assignments.groupBy(F.col("actor_id").alias("id")).agg(F.count("*").alias("n")), "id", "left")
-    sections = {
-        "actors": actors.agg(F.collect_list(F.struct("*")).alias("v")),
-        "assignments": assignments.agg(F.array_sort(F.collect_list(F.struct("round", "order_index", "scene", "label", "actor_id"))).alias("v")),
-        "label_count": labels.agg(F.count("*").alias("v")),
-        "per_actor_counts": per_actor.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("id", F.coalesce("n", F.lit(0)))))).alias("v")),
-        "scene_count": labels.agg(F.count_distinct("scene").alias("v")),
-    }
-    out = None
-    for name, df in sections.items():
-        df = df.withColumnRenamed("v", name)
-        out = df if out is None else out.crossJoin(df)
-    return out.withColumn("seed", F.lit(seed)).select(F.to_json(F.struct(*sorted([*sections, "seed"]))).alias("value"))
+    size = labels.agg(F.count("*").alias("labels"), F.count_distinct("scene").alias("scenes")).first()
+    rows = assignments.select(_sortable("round", "order_index", "scene", "label").alias("k"), F.to_json(F.struct("round", "order_index", "scene", "label", "actor_id")).alias("v"))
+    return document_lines(
+        {
+            "actors": list_lines(actors.select(F.col("id").alias("k"), F.to_json(F.struct("*")).alias("v"))),
+            "assignments": list_lines(rows),
+            "label_count": str(size.labels),
+            "per_actor_counts": map_lines(per_actor.select(F.col("id").alias("k"), F.coalesce("n", F.lit(0)).cast("string").alias("v"))),
+            "scene_count": str(size.scenes),
+            "seed": str(seed),
+        }
+    )
+
+
+def write_document(lines: DataFrame, path: str) -> None:
+    """Write lines in their order as one file: parts first, then put together by the driver, a buffer at a time."""
+    spark = lines.sparkSession
+    lines.write.mode("overwrite").text(f"{path}.parts")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path}.parts")
+    fs = place.getFileSystem(conf)
+    out = fs.create(place, True)
+    for part in sorted(x.getPath().toString() for x in fs.listStatus(folder)):
+        if part.rsplit("/", 1)[1].startswith("part-"):
+            source = fs.open(jvm.org.apache.hadoop.fs.Path(part))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+            source.close()
+    out.close()
+    fs.delete(folder, True)
 
 
 def follow_metadata(plan: DataFrame, path: str) -> None:
@@ -48,9 +125,8 @@ def append_errors(errors: DataFrame, path: str, at: Column | None = None) -> Non
 
 
 def depth_parameters(df: DataFrame) -> DataFrame:
-    """One JSON document that maps image names to scale and offset."""
-    entry = F.struct("image_name", F.struct("scale", "offset"))
-    return df.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("value"))
+    """The lines of one JSON object that maps image names to scale and offset."""
+    return map_lines(df.select("image_name", F.to_json(F.struct("scale", "offset")).alias("v")), "image_name").orderBy("t", "k", "at").select("value")
 
 
 def colmap_text_points(points: DataFrame) -> DataFrame:
@@ -93,3 +169,82 @@ def colmap_text_images(images: DataFrame) -> DataFrame:
 def camera_documents(cameras: DataFrame) -> DataFrame:
     """One JSON document for each camera row."""
     return cameras.select(F.to_json(F.struct("*")).alias("value"))
+
+
+_MODELS = {name: number for number, (name, _) in CAMERA_MODELS.items()}
+
+
+def _camera_record(r: dict) -> bytes:
+    return struct.pack(f"<iiQQ{len(r['params'])}d", r["camera_id"], _MODELS[r["model"]], r["width"], r["height"], *r["params"])
+
+
+def _image_record(r: dict) -> bytes:
+    seen = np.zeros(len(r["xys"]), [("x", "<f8"), ("y", "<f8"), ("p", "<i8")])
+    for k, (q, p) in enumerate(zip(r["xys"], r["point3d_ids"])):
+        seen[k] = q["x"], q["y"], p
+    return struct.pack("<i7di", r["image_id"], *r["qvec"], *r["tvec"], r["camera_id"]) + r["name"].encode() + b"\0" + struct.pack("<Q", len(seen)) + seen.tobytes()
+
+
+def _point_record(r: dict) -> bytes:
+    track = np.array([r["image_ids"], r["point2d_idxs"]], "<i4").T
+    return struct.pack("<Q3d3BdQ", r["point3d_id"], *r["xyz"], *r["rgb"], r["error"], len(track)) + track.tobytes()
+
+
+#: By table: the id that orders records, and the writer of one.
+_RECORDS = {"cameras": ("camera_id", _camera_record), "images": ("image_id", _image_record), "points3D": ("point3d_id", _point_record)}
+
+
+def colmap_records(df: DataFrame, table: str) -> DataFrame:
+    """(id, record): the binary record of each row of a camera model's table."""
+    key, write = _RECORDS[table]
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.to_pylist()
+            yield pa.record_batch([pa.array([r[key] for r in rows], pa.int64()), pa.array([write(r) for r in rows], pa.binary())], names=["id", "record"])
+
+    return df.mapInArrow(of, "id long, record binary")
+
+
+def write_colmap(df: DataFrame, folder: str, table: str) -> None:
+    """Write ``cameras``, ``images`` or ``points3D`` as ``.bin``: one file by its format, records in order of id.
+
+    Records are made by the executors and pass through the driver a partition at a time.
+    """
+    spark = df.sparkSession
+    records = tables.table(colmap_records(df, table).orderBy("id"), "records")
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(f"{folder}/{table}.bin")
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    held = bytearray(struct.pack("<Q", records.count()))
+    for r in records.orderBy("id").select("record").toLocalIterator():
+        held += r.record
+        if len(held) > 1 << 20:
+            out.write(held)
+            held = bytearray()
+    out.write(held)
+    out.close()
+
+
+def write_lines(lines: DataFrame, folder: str) -> None:
+    """Write (value) as text."""
+    lines.write.mode("overwrite").text(folder)
+
+
+def write_files(df: DataFrame, folder: str) -> int:
+    """Write each row of ``df`` (name, content) as a file below ``folder``, which all machines must have mounted; the number of files."""
+    where = folder.removeprefix("file://")
+    if "://" in where:
+        raise ValueError("single files are written to mounted folders only")
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, content in zip(b.column("name").to_pylist(), b.column("content").to_pylist()):
+                path = os.path.join(where, name)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(f"{path}.{os.getpid()}", "wb") as f:
+                    f.write(content)
+                os.replace(f"{path}.{os.getpid()}", path)  # a second attempt of a task writes the same again
+            yield pa.record_batch([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    return df.select("name", F.col("content").cast("binary").alias("content")).mapInArrow(of, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
