@@ -20,10 +20,9 @@ def describe(df: DataFrame, value: str | Column, by: Sequence[str] = (), prefix:
     and stddev to its first and the percentiles to its second number of places.
     """
     v = F.col(value) if isinstance(value, str) else value
-    values = ranks.sorted_values(df, by, v)
-    n = F.count("__v")
-    sums = values.groupBy(*by).agg(n.alias("count"), F.min("__v").alias("min"), F.max("__v").alias("max"), F.avg("__v").alias("mean"), F.when(n > 1, F.stddev_pop("__v")).alias("stddev"))
-    shares = ranks.quantiles_of(values, by, {"median": 0.5, "p10": 0.1, "p90": 0.9})
+    n = F.count(v)
+    sums = df.groupBy(*by).agg(n.alias("count"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), F.when(n > 1, F.stddev_pop(v)).alias("stddev"))
+    shares = ranks.quantiles(df, by, v, {"median": 0.5, "p10": 0.1, "p90": 0.9})
     if by:
         shares = shares.select(*(F.col(c).alias(f"__k{k}") for k, c in enumerate(by)), "median", "p10", "p90")
         same = [F.col(c).eqNullSafe(F.col(f"__k{k}")) for k, c in enumerate(by)]
@@ -31,8 +30,7 @@ def describe(df: DataFrame, value: str | Column, by: Sequence[str] = (), prefix:
     else:
         out = sums.crossJoin(F.broadcast(shares))  # one row each
     if digits:
-        # Means are rounded twice, so that the order of a sum does not decide where a half goes.
-        out = out.withColumns({c: F.round(F.round(c, digits[1]), digits[0]) for c in ("mean", "stddev")} | {c: F.round(c, digits[1]) for c in ("median", "p10", "p90")})
+        out = out.withColumns({c: F.round(c, digits[0]) for c in ("mean", "stddev")} | {c: F.round(c, digits[1]) for c in ("median", "p10", "p90")})
     return out.select(*by, *(F.col(c).alias(f"{prefix}{c}") for c in ("count", "min", "max", "mean", "median", "p10", "p90", "stddev")))
 
 
