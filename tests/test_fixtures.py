@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import Row, functions as F
 
+from waymark import tables
 from waymark.functions import scalar as S
 from waymark.operators import frames, imaging, paths, planning, ranks, points, stats
 
@@ -224,3 +225,14 @@ def test_union_aligned(spark):
     a = spark.createDataFrame([(1, 2.0)], "x int, y double")
     b = spark.createDataFrame([(3.0, "z")], "x double, extra string")
     assert sorted(map(tuple, points.union_aligned(a, b).collect())) == [(1, 2.0), (3, 0.0)]
+
+
+def test_tables_are_discarded(spark):
+    import os
+
+    kept, gone = (tables.table(spark.range(5), "t") for _ in range(2))
+    place = lambda df: os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+    here, there = place(kept), place(gone)
+    tables.discard(gone)
+    tables.discard(spark.range(1))  # never written
+    assert os.path.exists(here) and not os.path.exists(there) and kept.count() == 5

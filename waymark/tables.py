@@ -11,11 +11,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[tuple[SparkSession, str]] = []
 _own: dict[str, str] = {}
+_places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +40,17 @@ def table(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    _places[found] = path
+    return found
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``table`` wrote for ``df``, once nothing that is still to run reads it."""
+    path = _places.pop(df, None)
+    if path is not None:
+        _written.remove((df.sparkSession, path))
+        _delete(df.sparkSession, path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
