@@ -393,10 +393,13 @@ def resolve(entities: DataFrame, key: bytes = KEY) -> DataFrame:
         joined = joined.withColumn("lost", F.col("n").isNotNull() & (F.coalesce("real", F.lit(False)) | (me != F.col("first"))))
         judged = shared.table(joined.select(*current.columns, "lost"), "judged")
         if judged.where("lost").isEmpty():
+            shared.discard(judged)
             return current
         lost = judged.where("lost").drop("lost").withColumn("attempt", F.col("attempt") + 1)
         renewed = lost.mapInArrow(_again(key), lost.schema)
-        current = shared.table(judged.where("not lost").drop("lost").union(renewed), "entities")
+        old, current = current, shared.table(judged.where("not lost").drop("lost").union(renewed), "entities")
+        shared.discard(old)
+        shared.discard(judged)
 
 
 def replace(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = KEY) -> DataFrame:

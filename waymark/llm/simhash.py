@@ -209,7 +209,8 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        edges = shared.table(small.where("u <> v").distinct(), "edges")
+        old, edges = edges, shared.table(small.where("u <> v").distinct(), "edges")
+        shared.discard(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
