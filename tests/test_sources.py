@@ -161,3 +161,22 @@ def test_colmap_binary_written_and_read(spark, tmp_path):
         again = clouds.colmap(spark, str(b), table).collect()
         assert sorted(map(repr, again)) == sorted(map(repr, first.collect()))
         assert [r[0] for r in again] == sorted(r[0] for r in again)
+
+
+def test_colmap_in_slices(spark, tmp_path):
+    """A model of several slices is read by several tasks, whatever the store, and long images and repeated ids come back whole."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.slices.link./in", f"file://{tmp_path}")
+    n = F.when(F.col("id") == 7, 40_000).when(F.col("id") % 10 == 3, 0).otherwise(1300).cast("int")
+    points = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    images = spark.range(120).select(
+        F.greatest("id", F.lit(2)).alias("image_id"), F.array(*map(F.lit, (1.0, 0.0, 0.0, 0.0))).alias("qvec"), F.array(F.col("id") / 4, F.lit(2.0), F.lit(3.0)).alias("tvec"), F.lit(1).cast("long").alias("camera_id"), F.format_string("%d b.png", "id").alias("name"),
+        F.transform(points, lambda k: F.struct((k / 4).alias("x"), (k * 1.5).cast("double").alias("y"))).alias("xys"), F.transform(points, lambda k: k.cast("long") + (1 << 60)).alias("point3d_ids"),
+    )
+    sinks.write_colmap(images, f"file://{tmp_path}/b", "images")
+    sinks.write_document(sinks.colmap_text_images(images), f"file://{tmp_path}/t/images.txt")
+    want = {r.name: r for r in images.collect()}
+    for form in "bt":
+        df = clouds.colmap(spark, f"file://{tmp_path}/{form}", "images")
+        assert df.select(F.spark_partition_id()).distinct().count() > 1
+        for got in (df.collect(), clouds.colmap(spark, f"viewfs://slices/in/{form}", "images").collect()):
+            assert len(got) == 120 and {r.name: r for r in got} == want

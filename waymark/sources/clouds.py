@@ -9,14 +9,20 @@ where a path is local to all workers; files in another store go through
 from __future__ import annotations
 
 import glob
+import io
 import os
+import re
 import struct
 from collections.abc import Iterator
+from functools import partial
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 ROWS = 100_000
 _KINDS = {
@@ -193,9 +199,75 @@ SCHEMAS = {
 }
 
 
-def _cameras(raw: bytes) -> Iterator[tuple]:
-    (n,), at = struct.unpack_from("<Q", raw), 8
+#: Bytes of a camera model that are decoded at a time, or one record if that is longer.
+SLICE = 2 << 20
+_SEEN = np.dtype([("x", "<f8"), ("y", "<f8"), ("p", "<i8")])
+
+
+def _camera_starts(f: BinaryIO) -> Iterator[int]:
+    """Where each binary record starts, and the end of the last; so below. Only the heads of records are read."""
+    (n,), at = struct.unpack("<Q", f.read(8)), 8
+    for _ in range(n):
+        yield at
+        f.seek(at)
+        _, model = struct.unpack("<ii", f.read(8))
+        at += 24 + 8 * CAMERA_MODELS[model][1]
+    yield at
+
+
+def _image_starts(f: BinaryIO) -> Iterator[int]:
+    (n,), at = struct.unpack("<Q", f.read(8)), 8
     for _ in range(n):
+        yield at
+        at += 64
+        f.seek(at)
+        while (end := (part := f.read(256)).find(b"\0")) < 0:
+            if not part:
+                raise ValueError("the file ends within a name")
+            at += len(part)
+        at += end + 1
+        f.seek(at)
+        (m,) = struct.unpack("<Q", f.read(8))
+        at += 8 + _SEEN.itemsize * m
+    yield at
+
+
+def _point_starts(f: BinaryIO) -> Iterator[int]:
+    (n,), at = struct.unpack("<Q", f.read(8)), 8
+    for _ in range(n):
+        yield at
+        f.seek(at + 43)
+        (m,) = struct.unpack("<Q", f.read(8))
+        at += 51 + 8 * m
+    yield at
+
+
+def _line_starts(f: BinaryIO, lines: int) -> Iterator[int]:
+    """The same of text with ``lines`` lines to a record; comments do not count."""
+    at = k = 0
+    for line in f:
+        if not line.startswith(b"#"):
+            if k % lines == 0:
+                yield at
+            k += 1
+        at += len(line)
+    yield at
+
+
+def _slices(starts: Iterator[int]) -> Iterator[tuple[int, int]]:
+    """(start, end) of whole records, ``SLICE`` bytes or just over."""
+    a = z = next(starts)
+    for z in starts:
+        if z - a >= SLICE:
+            yield a, z
+            a = z
+    if z > a:
+        yield a, z
+
+
+def _cameras(raw: bytes) -> Iterator[tuple]:
+    at = 0
+    while at < len(raw):
         i, model, w, h = struct.unpack_from("<iiQQ", raw, at)
         name, count = CAMERA_MODELS[model]
         yield i, name, w, h, list(struct.unpack_from(f"<{count}d", raw, at + 24))
@@ -203,21 +275,21 @@ def _cameras(raw: bytes) -> Iterator[tuple]:
 
 
 def _images(raw: bytes) -> Iterator[tuple]:
-    (n,), at = struct.unpack_from("<Q", raw), 8
-    for _ in range(n):
+    at = 0
+    while at < len(raw):
         v = struct.unpack_from("<i7di", raw, at)
         at += struct.calcsize("<i7di")
         end = raw.index(b"\0", at)
         name = raw[at:end].decode()
         (m,) = struct.unpack_from("<Q", raw, end + 1)
-        seen = np.frombuffer(raw, [("x", "<f8"), ("y", "<f8"), ("p", "<i8")], m, end + 9)
-        at = end + 9 + 24 * m
-        yield v[0], list(v[1:5]), list(v[5:8]), v[8], name, [{"x": float(s["x"]), "y": float(s["y"])} for s in seen], seen["p"].tolist()
+        seen = np.frombuffer(raw, _SEEN, m, end + 9)
+        at = end + 9 + _SEEN.itemsize * m
+        yield v[0], v[1:5], v[5:8], v[8], name, seen["x"], seen["y"], seen["p"]
 
 
 def _points(raw: bytes) -> Iterator[tuple]:
-    (n,), at = struct.unpack_from("<Q", raw), 8
-    for _ in range(n):
+    at = 0
+    while at < len(raw):
         v = struct.unpack_from("<Q3d3BdQ", raw, at)
         at += struct.calcsize("<Q3d3BdQ")
         track = np.frombuffer(raw, "<i4", 2 * v[8], at).reshape(-1, 2)
@@ -239,8 +311,8 @@ def _images_text(raw: bytes) -> Iterator[tuple]:
     for head, seen in zip(lines[::2], [*lines[1::2], ""]):
         w, s = head.split(), seen.split()
         if len(w) >= 10:
-            xy = [{"x": float(a), "y": float(b)} for a, b in zip(s[0::3], s[1::3])]
-            yield int(w[0]), [float(q) for q in w[1:5]], [float(t) for t in w[5:8]], int(w[8]), " ".join(w[9:]), xy, [int(p) for p in s[2::3]]
+            both = len(s[1::3])  # a last point without y is none
+            yield int(w[0]), [float(q) for q in w[1:5]], [float(t) for t in w[5:8]], int(w[8]), " ".join(w[9:]), list(map(float, s[0::3][:both])), list(map(float, s[1::3])), list(map(int, s[2::3]))
 
 
 def _points_text(raw: bytes) -> Iterator[tuple]:
@@ -248,42 +320,75 @@ def _points_text(raw: bytes) -> Iterator[tuple]:
         yield int(w[0]), [float(v) for v in w[1:4]], [int(v) for v in w[4:7]], float(w[7]), [int(v) for v in w[8::2]], [int(v) for v in w[9::2]]
 
 
-_DECODERS = {"cameras": (_cameras, _cameras_text), "images": (_images, _images_text), "points3D": (_points, _points_text)}
+#: By table: what finds records and what decodes them, in binary and in text.
+_DECODERS = {
+    "cameras": ((_camera_starts, _cameras), (partial(_line_starts, lines=1), _cameras_text)),
+    "images": ((_image_starts, _images), (partial(_line_starts, lines=2), _images_text)),
+    "points3D": ((_point_starts, _points), (partial(_line_starts, lines=1), _points_text)),
+}
+
+
+def _listed(parts: list, kind: str) -> tuple[pa.Array, pa.Array]:
+    """Offsets and values of a list array."""
+    return pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int32()), pa.array(np.concatenate([np.asarray(p, kind) for p in parts]))
+
+
+def _model_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(map(list, zip(*rows)))
+    if "xys" in schema.names:  # points of images are many and stay out of Python's objects
+        *columns, x, y, p = columns
+        (at, x), (_, y) = _listed(x, "f8"), _listed(y, "f8")
+        columns += [pa.ListArray.from_arrays(at, pa.StructArray.from_arrays([x, y], ["x", "y"])), pa.ListArray.from_arrays(*_listed(p, "i8"))]
+    return pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def colmap(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """``cameras``, ``images`` or ``points3D`` of the models in ``folder`` (a glob); ``.bin`` is preferred to ``.txt``."""
-    files = spark.read.format("binaryFile").load(f"{folder}/{table}.*").where(F.col("path").rlike(r"\.(bin|txt)$")).select("path", "content")
+    """``cameras``, ``images`` or ``points3D`` of the models in ``folder`` (a glob); ``.bin`` is preferred to ``.txt``.
+
+    Records have lengths of their own, so one task for each file looks up where
+    they start; slices of whole records are then read by all tasks. A file in a
+    store that is not mounted comes in one piece from ``binaryFile`` (2 GB at
+    most) and is decoded a slice at a time.
+    """
+    files = spark.read.format("binaryFile").load(f"{folder}/{table}.*").where(F.col("path").rlike(r"\.(bin|txt)$"))
     best = files.groupBy(F.regexp_extract("path", "^(.*)/", 1).alias("d")).agg(F.min("path").alias("path")).select("path")
     binary, text = _DECODERS[table]
-    names = [c.strip().split()[0] for c in _top_level(SCHEMAS[table])]
-    arrow = None
+    schema = StructType.fromDDL(SCHEMAS[table])
 
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import _parse_datatype_string  # noqa: F401
+    def ways(path: str) -> tuple:
+        return binary if path.endswith(".bin") else text
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, raw in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                rows = list((binary if path.endswith(".bin") else text)(raw))
-                for a in range(0, len(rows), ROWS):
-                    part = [dict(zip(names, r)) for r in rows[a : a + ROWS]]
-                    yield pa.RecordBatch.from_pylist(part, schema=to_arrow_schema(schema))
+            for path in b.column(0).to_pylist():
+                with open(re.sub("^file:/*", "/", path), "rb", buffering=8192) as f:
+                    found = list(_slices(ways(path)[0](f)))
+                yield pa.record_batch([pa.array([path] * len(found), pa.string()), *(pa.array([s[k] for s in found], pa.int64()) for k in (0, 1))], names=["path", "a", "z"])
 
-    from pyspark.sql.types import StructType
+    def decode(f: BinaryIO, path: str, a: int, z: int) -> Iterator[pa.RecordBatch]:
+        f.seek(a)
+        if rows := list(ways(path)[1](f.read(z - a))):
+            yield _model_batch(rows, to_arrow_schema(schema))
 
-    schema = StructType.fromDDL(SCHEMAS[table])
-    return files.join(best, "path").select("path", "content").mapInArrow(of, schema)
+    def of_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, a, z in zip(*(c.to_pylist() for c in b.columns)):
+                with open(re.sub("^file:/*", "/", path), "rb", buffering=0) as f:
+                    yield from decode(f, path, a, z)
 
+    def of_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for path, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                f = io.BytesIO(raw)
+                for a, z in list(_slices(ways(path)[0](f))):
+                    yield from decode(f, path, a, z)
 
-def _top_level(ddl: str) -> list[str]:
-    out, depth, last = [], 0, 0
-    for k, c in enumerate(ddl):
-        depth += (c == "<") - (c == ">")
-        if c == "," and depth == 0:
-            out.append(ddl[last:k])
-            last = k + 1
-    return [*out, ddl[last:]]
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme() != "file":
+        return files.join(best, "path").select("path", "content").mapInArrow(of_files, schema)
+    # Few rows, dealt in turn: a hash of them would leave some tasks with several and others with none.
+    slices = files.join(best, "path").select("path").mapInArrow(cut, "path string, a long, z long")
+    return slices.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(of_slices, schema)
 
 
 def dense_array(raw: bytes) -> np.ndarray:
@@ -318,8 +423,6 @@ def poses(spark: SparkSession, path: str) -> DataFrame:
     """(file, i, pose): 3 x 4 poses of ``.npy`` buffers, those of zeros left out; pickled arrays are refused."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-
         for b in batches:
             for file, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 data = np.load(io.BytesIO(raw), allow_pickle=False)
